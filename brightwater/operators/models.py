@@ -139,7 +139,8 @@ def holdout_split(df: DataFrame, keys: list[str], test_size: float = 0.2, seed:
 
 
 def assemble(columns: list[str], out: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=columns, outputCol=out, handleInvalid="keep")
+    """MLlib trees take no missing values: a row with one is an error, so prepare first."""
+    return VectorAssembler(inputCols=columns, outputCol=out, handleInvalid="error")
 
 
 RUN_LOG_SCHEMA = T.StructType(
@@ -239,7 +240,11 @@ def cross_validate(
         parallelism=parallelism,
     )
     rows = assemble(columns).transform(df).select("features", label_col, hash_bucket(keys, folds, seed).alias("_fold"))
-    return validator.fit(rows)
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return validator.fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def fold_scores(spark: SparkSession, fitted: CrossValidatorModel) -> DataFrame:

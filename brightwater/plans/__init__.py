@@ -6,7 +6,7 @@ import importlib
 
 from brightwater.plans.registry import ORACLES, QUERIES, Query
 
-MODULES = ["ingest", "features"]
+MODULES = ["ingest", "features", "prep", "models"]
 
 
 def _load() -> None:
