@@ -6,8 +6,6 @@ Unicode ones. Everything but NFKD runs in the JVM on whole texts.
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,12 +37,20 @@ STOP_WORDS = (
 ).split()
 
 
-@F.pandas_udf("string")
-def normalize_nfkd(text: pd.Series) -> pd.Series:
-    """Unicode NFKD. ASCII text, already normal, is handed back as it came."""
-    return pd.Series(
-        [t if t is None or t.isascii() else unicodedata.normalize("NFKD", t) for t in text], index=text.index, dtype=object
-    )
+def normalize_nfkd(text: Column) -> Column:
+    """Unicode NFKD. ASCII text, already normal, is handed back as it came.
+
+    Spark has no such function, so Arrow batches go through Python. The inner
+    function is shipped by value: executors need not have this package.
+    """
+
+    def nfkd(texts: pd.Series) -> pd.Series:
+        import unicodedata
+
+        done = [t if t is None or t.isascii() else unicodedata.normalize("NFKD", t) for t in texts]
+        return pd.Series(done, index=texts.index, dtype=object)
+
+    return F.pandas_udf(nfkd, "string")(text)
 
 
 def strip_html(text: Column) -> Column:

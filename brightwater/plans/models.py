@@ -279,11 +279,6 @@ def predict_proba(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _linear():
-    weights = np.array([0.5, -1.0, 0.25])
-    return lambda matrix: np.asarray(matrix, dtype=float) @ weights
-
-
 @query(
     "predict_with_function",
     f"""SELECT l_orderkey, l_linenumber, l_partkey,
@@ -291,6 +286,11 @@ def _linear():
 )
 def predict_with_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model from outside MLlib, scored in Arrow batches."""
+
+    def linear():
+        weights = np.array([0.5, -1.0, 0.25])
+        return lambda matrix: np.asarray(matrix, dtype=float) @ weights
+
     line = table(spark, sf_dir, "lineitem")
-    scored = scoring.predict_with_function(line, ["l_quantity", "l_discount", "l_tax"], _linear)
+    scored = scoring.predict_with_function(line, ["l_quantity", "l_discount", "l_tax"], linear)
     return scored.select("l_orderkey", "l_linenumber", "l_partkey", F.round(F.col("prediction") + 1e-7, 6).alias("prediction"))

@@ -19,6 +19,9 @@ TABLES = (
 ).split()
 
 
+TIMES: dict[str, float] = {}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:
@@ -43,10 +46,14 @@ def _rows(columns: list[str], rows) -> list[tuple]:
 
 def differences(spark, connection, fn, oracle: str, sf_dir: str) -> list[str]:
     frame = fn(spark, sf_dir)
+    began = time.time()
     got = _rows(frame.columns, [tuple(r) for r in frame.collect()])
+    TIMES["collect"] = time.time() - began
+    began = time.time()
     result = connection.execute(oracle)
     names = [d[0] for d in result.description]
     want = _rows(names, result.fetchall())
+    TIMES["sql"] = time.time() - began
     problems = []
     if sorted(frame.columns) != sorted(names):
         return [f"columns {sorted(frame.columns)} != {sorted(names)}"]
@@ -77,6 +84,7 @@ def main() -> None:
             if name in oracles:
                 problems = differences(spark, connection, fn, oracles[name], sf_dir)
                 verdict = "ok" if not problems else f"DIFF {problems}"
+                verdict += f" (collect {TIMES.get('collect', 0):.1f}s, sql {TIMES.get('sql', 0):.1f}s)"
             else:
                 rows = fn(spark, sf_dir).collect()
                 verdict, problems = f"rows {len(rows)} e.g. {str(rows[:1])[:300]}", []
