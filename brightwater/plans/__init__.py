@@ -6,7 +6,7 @@ import importlib
 
 from brightwater.plans.registry import ORACLES, QUERIES, Query
 
-MODULES = ["ingest", "features", "prep", "models", "text"]
+MODULES = ["ingest", "features", "prep", "models", "text", "store", "monitor", "stream"]
 
 
 def _load() -> None:

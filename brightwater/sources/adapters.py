@@ -46,14 +46,14 @@ def customer_events(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None
     )
 
 
-def flawed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flawed_events(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Line items as events with gaps and bad amounts, decided by their own values.
 
     The generated tables hold no nulls or negatives, so the quality operators
     get them from here: some ids, customers and timestamps are missing, some
     amounts have their sign flipped, and some dates are missing.
     """
-    line = table(spark, sf_dir, "lineitem")
+    line = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
     number, tax = F.col("l_linenumber"), F.col("l_tax")
     order_id = F.col("l_orderkey").cast("string")
     event_id = F.concat(order_id, F.lit("-"), number.cast("string"))
