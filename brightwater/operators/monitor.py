@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightwater.operators.quantiles import exact_quantiles, numeric_value
+from brightwater.operators.quantiles import double_literal, exact_quantiles, numeric_value
 
 # Latency bucket bounds (seconds) and alert levels.
 LATENCY_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5]
@@ -75,17 +75,16 @@ def store_hits_misses(log: DataFrame) -> DataFrame:
 
 def _bin_shares(df: DataFrame, edges: dict[str, list[float]], name: str) -> DataFrame:
     """(feature, bin, share) from one aggregate over the whole sample, no shuffle of rows."""
-    counts, cells = [], []
+    positions, counts, cells = [], [], []
     for i, (feature, cuts) in enumerate(edges.items()):
-        value = F.expr(numeric_value(feature))
-        position = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: value > c))
+        value = numeric_value(feature)
+        above = " + ".join(f"CAST({value} > {double_literal(c)} AS INT)" for c in cuts) or f"CAST({value} > 0 AS INT) * 0"
+        positions.append(F.expr(above).alias(f"p{i}"))
+        counts.append(F.expr(f"count(p{i})").alias(f"t{i}"))
         for b in range(len(cuts) + 1):
-            counts.append(F.count_if(value.isNotNull() & (position == b)).alias(f"c{i}_{b}"))
-            cells.append(
-                F.struct(F.lit(feature).alias("feature_name"), F.lit(b).alias("bin"), F.col(f"c{i}_{b}").alias("n"), F.col(f"t{i}").alias("total"))
-            )
-        counts.append(F.count(value).alias(f"t{i}"))
-    rows = df.agg(*counts).select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+            counts.append(F.expr(f"count_if(p{i} = {b})").alias(f"c{i}_{b}"))
+            cells.append(f"struct('{feature}' AS feature_name, {b} AS bin, c{i}_{b} AS n, t{i} AS total)")
+    rows = df.select(*positions).agg(*counts).select(F.explode(F.expr(f"array({', '.join(cells)})")).alias("c")).select("c.*")
     share = F.coalesce(F.try_divide(F.col("n"), F.col("total")), F.lit(0.0))
     return rows.select("feature_name", "bin", F.greatest(share, F.lit(SHARE_FLOOR)).alias(name))
 

@@ -42,7 +42,7 @@ def numeric_value(column: str) -> str:
     return f"nanvl(CAST(`{column}` AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
-def _literal(value: float) -> str:
+def double_literal(value: float) -> str:
     return f"CAST('{value!r}' AS DOUBLE)"
 
 
@@ -57,7 +57,7 @@ def _approximate(value: str, probabilities: list[float]) -> str:
 
 def _probe(search: _Search, i: int) -> dict[str, str]:
     """Counts around the bracket, and either the value sought or cuts to narrow by."""
-    value, low, high = numeric_value(search.column), _literal(search.low), _literal(search.high)
+    value, low, high = numeric_value(search.column), double_literal(search.low), double_literal(search.high)
     strictly = f"CASE WHEN {value} > {low} AND {value} < {high} THEN {value} END"
     below, at_low = f"count_if({value} < {low})", f"count_if({value} = {low})"
     columns = {
