@@ -71,7 +71,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], check_duplicat
     if not check_duplicates:
         return merged
     repeated = source_keys.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    clash = repeated.join(target.select(*keys), keys, "left_semi")
+    # Aggregated again so that the check cannot move below the join, where it
+    # would also see repeated keys that match nothing.
+    clash = repeated.join(target.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.max("_n").alias("_n"))
     # Yields no row: the first clash raises instead.
     guard = clash.filter(F.assert_true(F.col("_n") < 2, "several source rows match one target row").isNotNull())
     return merged.unionByName(guard.select(*keys), allowMissingColumns=True)
