@@ -109,8 +109,7 @@ def tokens(text: Column, stop_words: list[str] | None = STOP_WORDS, max_chars: i
     found = F.regexp_extract_all(F.lower(head_chars(text, max_chars)), F.lit(TOKEN_PATTERN), F.lit(0))
     if not stop_words:
         return found
-    listed = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(found, lambda t: ~F.array_contains(listed, t))
+    return F.filter(found, lambda t: ~t.isin(*stop_words))
 
 
 def words(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,15 +56,24 @@ def f1_weighted(df: DataFrame, label: str = "label", prediction: str = "predicti
 def roc_auc(df: DataFrame, score: str = "churn_probability", label: str = "label") -> float | None:
     """Exact, tie-aware area under the ROC curve, to 4 places; None with one class only.
 
-    MLlib counts labels per distinct score, sorts by range and accumulates per
-    partition, so no window over the whole table is needed. Runs jobs.
+    Equal scores collapse to weighted rows first. MLlib then sorts by range and
+    accumulates per partition, so no window over the whole table is needed.
+    Runs jobs.
     """
-    rows = df.select(F.col(score).cast("double").alias("score"), F.col(label).cast("double").alias("label"))
-    sides = rows.agg(F.max("label").alias("high"), F.min("label").alias("low")).head()
-    if sides["high"] is None or sides["high"] == sides["low"]:
-        return None
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
-    return round(evaluator.evaluate(rows), 4)
+    rows = df.groupBy(F.col(score).cast("double").alias("score"), F.col(label).cast("double").alias("label")).agg(
+        F.count(F.lit(1)).cast("double").alias("weight")
+    )
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sides = kept.agg(F.max("label").alias("high"), F.min("label").alias("low")).head()
+        if sides["high"] is None or sides["high"] == sides["low"]:
+            return None
+        evaluator = BinaryClassificationEvaluator(
+            rawPredictionCol="score", labelCol="label", weightCol="weight", numBins=0
+        )
+        return round(evaluator.evaluate(kept), 4)
+    finally:
+        kept.unpersist()
 
 
 def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

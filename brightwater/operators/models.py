@@ -266,11 +266,10 @@ def load_model(path: str) -> PipelineModel:
 def fit_with_preparation(
     df: DataFrame, preparation: Pipeline, columns: list[str], name: str, task: str, label_col: str = "label", **overrides: Any
 ) -> PipelineModel:
-    """One model holding the preparation, the assembler and the trees."""
+    """One model holding the preparation, the assembler and the trees.
+
+    Reads ``df`` several times, so pass a table or a persisted frame.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     estimator, _ = model_for(name, task, label_col=label_col, **overrides)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return Pipeline(stages=[*preparation.getStages(), assemble(columns), estimator]).fit(kept)
-    finally:
-        kept.unpersist()
+    return Pipeline(stages=[*preparation.getStages(), assemble(columns), estimator]).fit(df)

@@ -15,7 +15,6 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 INSIDE_LIMIT = 50_000
@@ -24,17 +23,16 @@ CUTS = 64
 
 @dataclass
 class _Search:
-    """One wanted order statistic (0-based rank) of one column.
+    """Wanted order statistics (0-based ranks) of one column within one bracket.
 
-    ``expected`` bounds the number of rows strictly between the brackets.
+    ``expected`` bounds the number of rows strictly between the bracket's ends.
     """
 
     column: str
-    rank: int
+    ranks: list[int]
     low: float
     high: float
     expected: float
-    value: float | None = None
 
 
 def numeric_value(column: str) -> str:
@@ -47,7 +45,7 @@ def double_literal(value: float) -> str:
 
 
 def _aggregate(df: DataFrame, columns: dict[str, str]) -> dict:
-    return df.agg(*[F.expr(text).alias(name) for name, text in columns.items()]).head().asDict()
+    return df.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()]).collect()[0].asDict()
 
 
 def _approximate(value: str, probabilities: list[float]) -> str:
@@ -56,8 +54,8 @@ def _approximate(value: str, probabilities: list[float]) -> str:
 
 
 def _probe(search: _Search, i: int) -> dict[str, str]:
-    """Counts around the bracket, and either the value sought or cuts to narrow by."""
-    value, low, high = numeric_value(search.column), double_literal(search.low), double_literal(search.high)
+    """Counts around the bracket, and either the values sought or cuts to narrow by."""
+    value, low, high = f"`{search.column}`", double_literal(search.low), double_literal(search.high)
     strictly = f"CASE WHEN {value} > {low} AND {value} < {high} THEN {value} END"
     below, at_low = f"count_if({value} < {low})", f"count_if({value} = {low})"
     columns = {
@@ -69,32 +67,36 @@ def _probe(search: _Search, i: int) -> dict[str, str]:
     if search.expected > INSIDE_LIMIT:
         columns[f"cuts{i}"] = _approximate(strictly, [j / CUTS for j in range(CUTS + 1)])
     else:
-        offset = f"CAST({search.rank} - {below} - {at_low} AS INT)"
-        columns[f"found{i}"] = f"get(sort_array(collect_list({strictly})), {offset})"
+        picks = [f"get(sort_array(collect_list({strictly})), CAST({r} - {below} - {at_low} AS INT))" for r in search.ranks]
+        columns[f"found{i}"] = f"array({', '.join(picks)})"
     return columns
 
 
-def _advance(search: _Search, row: dict, i: int, extremes: tuple[float, float], rows: int) -> None:
-    """Settle the search from its counts, or move its bracket."""
+def _advance(
+    search: _Search, row: dict, i: int, extremes: tuple[float, float], rows: int, settled: dict[tuple[str, int], float]
+) -> list[_Search]:
+    """Settle the ranks the counts decide; return searches for the others."""
     below, at_low, inside, at_high = (row[f"{part}{i}"] for part in ("below", "at_low", "inside", "at_high"))
-    offset = search.rank - below - at_low
-    if search.rank < below:
-        search.low, search.high, search.expected = extremes[0], search.low, rows
-    elif offset < 0:
-        search.value = search.low
-    elif offset >= inside + at_high:
-        search.low, search.high, search.expected = search.high, extremes[1], rows
-    elif offset >= inside:
-        search.value = search.high
-    elif f"found{i}" in row:
-        search.value = row[f"found{i}"]
-    else:
-        cuts, step = row[f"cuts{i}"], int(offset / inside * CUTS)
-        if step >= 1:
-            search.low = cuts[step - 1]
-        if step + 2 <= CUTS:
-            search.high = cuts[step + 2]
-        search.expected = inside * (3 / CUTS + 2 / ACCURACY)
+    left = []
+    for j, rank in enumerate(search.ranks):
+        offset = rank - below - at_low
+        key = (search.column, rank)
+        if rank < below:
+            left.append(_Search(search.column, [rank], extremes[0], search.low, rows))
+        elif offset < 0:
+            settled[key] = search.low
+        elif offset >= inside + at_high:
+            left.append(_Search(search.column, [rank], search.high, extremes[1], rows))
+        elif offset >= inside:
+            settled[key] = search.high
+        elif f"found{i}" in row:
+            settled[key] = row[f"found{i}"][j]
+        else:
+            cuts, step = row[f"cuts{i}"], int(offset / inside * CUTS)
+            low = cuts[step - 1] if step >= 1 else search.low
+            high = cuts[step + 2] if step + 2 <= CUTS else search.high
+            left.append(_Search(search.column, [rank], low, high, inside * (3 / CUTS + 2 / ACCURACY)))
+    return left
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
@@ -106,46 +108,37 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     if not columns:
         return {}
     margin = 2 / ACCURACY
+    values = df.selectExpr(*[f"{numeric_value(c)} AS `{c}`" for c in columns])
     first: dict[str, str] = {}
     wanted = sorted({q for p in probabilities for q in (p - margin, p + margin)})
     for i, c in enumerate(columns):
-        value = numeric_value(c)
-        first[f"n{i}"] = f"count({value})"
-        first[f"lo{i}"], first[f"hi{i}"] = f"min({value})", f"max({value})"
-        first[f"q{i}"] = _approximate(value, wanted)
-    row = _aggregate(df, first)
-    extremes, searches = {}, {}
+        first |= {f"n{i}": f"count(`{c}`)", f"lo{i}": f"min(`{c}`)", f"hi{i}": f"max(`{c}`)"}
+        first[f"q{i}"] = _approximate(f"`{c}`", wanted)
+    row = _aggregate(values, first)
+    sizes = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    extremes = {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+    searches = []
     for i, c in enumerate(columns):
-        n = row[f"n{i}"]
-        if not n:
+        if not sizes[c]:
             continue
-        extremes[c] = (row[f"lo{i}"], row[f"hi{i}"])
         near = dict(zip(wanted, row[f"q{i}"]))
-        for p in probabilities:
-            position = p * (n - 1)
-            for rank in (math.floor(position), math.ceil(position)):
-                bracket = near[p - margin], near[p + margin]
-                searches.setdefault((c, rank), _Search(c, rank, *bracket, expected=6 * n / ACCURACY + 2))
-    rows = max((row[f"n{i}"] for i in range(len(columns))), default=0)
-    unsettled = list(searches.values())
-    while unsettled:
+        for p in dict.fromkeys(probabilities):
+            position = p * (sizes[c] - 1)
+            ranks = sorted({math.floor(position), math.ceil(position)})
+            searches.append(_Search(c, ranks, near[p - margin], near[p + margin], 6 * sizes[c] / ACCURACY + 2))
+    rows = max(sizes.values())
+    settled: dict[tuple[str, int], float] = {}
+    while searches:
         probes: dict[str, str] = {}
-        for i, s in enumerate(unsettled):
+        for i, s in enumerate(searches):
             probes |= _probe(s, i)
-        counts = _aggregate(df, probes)
-        for i, s in enumerate(unsettled):
-            _advance(s, counts, i, extremes[s.column], rows)
-        unsettled = [s for s in unsettled if s.value is None]
+        counts = _aggregate(values, probes)
+        searches = [t for i, s in enumerate(searches) for t in _advance(s, counts, i, extremes[s.column], rows, settled)]
     result: dict[str, list[float | None]] = {}
-    for i, c in enumerate(columns):
-        n = row[f"n{i}"]
-        if not n:
-            result[c] = [None] * len(probabilities)
-            continue
+    for c in columns:
         result[c] = []
         for p in probabilities:
-            position = p * (n - 1)
-            low, high = math.floor(position), math.ceil(position)
-            a, b = searches[c, low].value, searches[c, high].value
-            result[c].append(a if low == high else a + (b - a) * (position - low))
+            position = p * (sizes[c] - 1)
+            low, high = settled.get((c, math.floor(position))), settled.get((c, math.ceil(position)))
+            result[c].append(low if low is None or low == high else low + (high - low) * (position - math.floor(position)))
     return result

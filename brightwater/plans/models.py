@@ -12,7 +12,7 @@ from brightwater.plans.prep import CHURN_KEYS, DEMAND_KEYS, churn_frame, demand_
 from brightwater.plans.registry import query
 from brightwater.schema import CHURN_FEATURES, DEMAND_FEATURES
 from brightwater.session import scratch_path
-from brightwater.sources.adapters import table
+from brightwater.sources.adapters import spread, table
 
 # The registered queries grow small ensembles; the library defaults are larger.
 FEW_TREES = {
@@ -137,7 +137,7 @@ def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels, predictions and tied scores made from line items."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"))
     return line.select(
         F.when(F.col("l_quantity") > 33, 2).when(F.col("l_quantity") > 17, 1).otherwise(0).alias("class"),
         F.when(F.col("l_extendedprice") > 70000, 2).when(F.col("l_extendedprice") > 30000, 1).otherwise(0).alias("prediction"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brightwater.operators import monitor
 from brightwater.plans import sql
 from brightwater.plans.registry import query, rounded
-from brightwater.sources.adapters import table
+from brightwater.sources.adapters import spread, table
 
 
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +114,7 @@ DRIFT_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "price_per_unit
 
 def _samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Returned items against the rest, with a feature that shifts by half."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"))
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     returned = F.col("l_returnflag") == "R"
     line = line.withColumn("price_per_unit", F.when(returned, unit).otherwise(unit * 1.5))

@@ -12,7 +12,7 @@ from brightwater.operators.quantiles import exact_quantiles
 from brightwater.plans import sql
 from brightwater.plans.registry import query, rounded
 from brightwater.schema import CHURN_FEATURES, DEMAND_FEATURES
-from brightwater.session import scratch_path
+from brightwater.session import scratch_path, written
 from brightwater.sources.adapters import customer_events
 
 CHURN_KEYS = ["customer_id", "region"]
@@ -20,15 +20,15 @@ DEMAND_KEYS = ["date", "product_id", "region"]
 
 
 def churn_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer features with some session lengths missing."""
+    """Customer features with some session lengths missing, as a table."""
     features = customer_features(customer_events(spark, sf_dir), sql.AS_OF)
     gap = F.when(F.col("active_days") % 7 != 0, F.col("avg_session_sec"))
-    return features.withColumn("avg_session_sec", gap).select(*CHURN_KEYS, *CHURN_FEATURES)
+    return written(features.withColumn("avg_session_sec", gap).select(*CHURN_KEYS, *CHURN_FEATURES), "customer_features")
 
 
 def demand_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Demand features; the first day of a series has no rolling sums."""
-    return demand_features(customer_events(spark, sf_dir)).select(*DEMAND_KEYS, *DEMAND_FEATURES)
+    """Demand features as a table; the first day of a series has no rolling sums."""
+    return written(demand_features(customer_events(spark, sf_dir)).select(*DEMAND_KEYS, *DEMAND_FEATURES), "demand_features")
 
 
 CHURN_SQL = f"""{sql.CE}, {sql.customer_features()},
@@ -75,12 +75,7 @@ def out(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
 
 
 def fit_apply(df: DataFrame, stage: Estimator, keys: list[str], columns: list[str]) -> DataFrame:
-    kept = df.persist()
-    try:
-        fitted = stage.fit(kept)
-    finally:
-        kept.unpersist()
-    return out(fitted.transform(df), keys, columns)
+    return out(stage.fit(df).transform(df), keys, columns)
 
 
 @query(
@@ -93,11 +88,7 @@ def fit_apply(df: DataFrame, stage: Estimator, keys: list[str], columns: list[st
     ),
 )
 def quantile_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = churn_frame(spark, sf_dir).persist()
-    try:
-        bounds = exact_quantiles(frame, CHURN_FEATURES, [0.01, 0.99])
-    finally:
-        frame.unpersist()
+    bounds = exact_quantiles(churn_frame(spark, sf_dir), CHURN_FEATURES, [0.01, 0.99])
     rows = [(c, low, high) for c, (low, high) in bounds.items()]
     return spark.createDataFrame(rows, "feature string, q_low double, q_high double").select(
         "feature", rounded("q_low").alias("q_low"), rounded("q_high").alias("q_high")

@@ -9,7 +9,7 @@ from brightwater.functions import extraction, text as tx
 from brightwater.operators import classify, documents
 from brightwater.plans import sql
 from brightwater.plans.registry import joined, query, rounded
-from brightwater.sources.adapters import contract_texts, table
+from brightwater.sources.adapters import contract_texts, spread, table
 
 
 def quoted(pattern: str) -> str:
@@ -47,7 +47,7 @@ BOTH = """both_kinds AS (SELECT concat('page', CAST(page_id AS VARCHAR)) AS doc_
 
 
 def pages_and_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages, docs = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    pages, docs = spread(table(spark, sf_dir, "pages")), spread(table(spark, sf_dir, "documents"))
     return pages.select(
         F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("doc_id"), F.col("html").alias("text")
     ).unionByName(docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("doc_id"), "text"))
@@ -55,12 +55,12 @@ def pages_and_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("normalize_nfkd")
 def normalize_nfkd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", tx.normalize_nfkd(F.col("text")).alias("text"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", tx.normalize_nfkd(F.col("text")).alias("text"))
 
 
 @query("strip_html", "SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS text FROM pages")
 def strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", tx.strip_html(F.col("html")).alias("text"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", tx.strip_html(F.col("html")).alias("text"))
 
 
 @query("redact_email", f"WITH {BOTH} SELECT doc_id, regexp_replace(text, {EMAIL_SQL}, '[EMAIL]', 'g') AS text FROM both_kinds")
@@ -95,7 +95,7 @@ def clean_text_full(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS position, unnest(parts) AS sentence FROM s""",
 )
 def sentencize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", tx.normalize_ws(F.col("text")).alias("text"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", tx.normalize_ws(F.col("text")).alias("text"))
     return documents.sentence_rows(docs)
 
 
@@ -109,7 +109,7 @@ STOP_SQL = "[" + ", ".join(quoted(w) for w in tx.STOP_WORDS) + "]"
         SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS position, unnest(parts) AS token FROM t""",
 )
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.token_rows(table(spark, sf_dir, "documents"))
+    return documents.token_rows(spread(table(spark, sf_dir, "documents")))
 
 
 def word_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +131,7 @@ def word_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM rows_ LEFT JOIN forms ON token = form""",
 )
 def tokenize_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.token_rows(table(spark, sf_dir, "documents"), lemmas=word_forms(spark, sf_dir))
+    return documents.token_rows(spread(table(spark, sf_dir, "documents")), lemmas=word_forms(spark, sf_dir))
 
 
 @query(
@@ -140,17 +140,17 @@ def tokenize_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
           1, 393), ' ') AS text FROM documents""",
 )
 def truncate_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", tx.truncate_words(F.col("text")).alias("text"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", tx.truncate_words(F.col("text")).alias("text"))
 
 
 def _language_model(spark: SparkSession, sf_dir: str):
-    return classify.train_classifier(table(spark, sf_dir, "documents"), "lang", num_features=1 << 12, max_iter=8)
+    return classify.train_classifier(spread(table(spark, sf_dir, "documents")), "lang", num_features=1 << 12, max_iter=8)
 
 
 @query("classify_documents")
 def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by language, with the map of all scores opened into rows."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     out = classify.classify_documents(docs, _language_model(spark, sf_dir))
     return out.select("doc_id", "text_snippet", "label", "confidence", "requires_review")
 
@@ -158,7 +158,7 @@ def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("classify_quality")
 def classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on the documents with a quality label, applied to all of them."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
     model = classify.train_classifier(labelled, "quality", num_features=1 << 12, max_iter=8)
     out = classify.classify_documents(docs, model)
@@ -167,7 +167,7 @@ def classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("score_map")
 def score_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = classify.classify_documents(table(spark, sf_dir, "documents"), _language_model(spark, sf_dir))
+    out = classify.classify_documents(spread(table(spark, sf_dir, "documents")), _language_model(spark, sf_dir))
     return out.select("doc_id", "text_snippet", F.explode("all_scores").alias("label", "score"))
 
 
@@ -269,7 +269,7 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM grams JOIN sized ON gram = phrase AND grams.n = sized.n""",
 )
 def gazetteer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.gazetteer_entities(table(spark, sf_dir, "documents"), gazetteer(spark, sf_dir))
+    return documents.gazetteer_entities(spread(table(spark, sf_dir, "documents")), gazetteer(spark, sf_dir))
 
 
 LEXICON_SQL = quoted(extraction.lexicon_pattern(extraction.OBLIGATION_WORDS))
@@ -343,7 +343,7 @@ def compliance_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = contract_texts(spark, sf_dir).select(
         F.concat(F.lit("contract"), F.col("doc_id").cast("string")).alias("doc_id"), "text"
     )
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents")).select(
         F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("doc_id"), "text"
     )
     return documents.compliance_flags(made.unionByName(docs)).drop("text")

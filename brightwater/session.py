@@ -55,6 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder.
+
+    For results that several jobs read, such as features a model is fitted on:
+    they are computed once, and losing an executor loses none of them.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (file sizes for plain scans)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -10,6 +10,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scan's rows out when it has fewer splits than the session has cores.
+
+    A table in one small file would keep all but one core idle. A large table
+    has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def join_events(lineitem: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items (batch or stream) as purchase events.
 
@@ -30,7 +40,7 @@ def join_events(lineitem: DataFrame, spark: SparkSession, sf_dir: str) -> DataFr
 
 def customer_events(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """One purchase event per line item; ``date`` is null throughout."""
-    source = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
+    source = lineitem if lineitem is not None else spread(table(spark, sf_dir, "lineitem"))
     joined = join_events(source, spark, sf_dir)
     return joined.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("event_id"),
@@ -53,7 +63,7 @@ def flawed_events(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None =
     get them from here: some ids, customers and timestamps are missing, some
     amounts have their sign flipped, and some dates are missing.
     """
-    line = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
+    line = lineitem if lineitem is not None else spread(table(spark, sf_dir, "lineitem"))
     number, tax = F.col("l_linenumber"), F.col("l_tax")
     order_id = F.col("l_orderkey").cast("string")
     event_id = F.concat(order_id, F.lit("-"), number.cast("string"))
@@ -82,7 +92,7 @@ def contract_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     The invented prose has no obligations, amounts or calendar dates, so the
     text is put together from order values.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     amount = F.floor("o_totalprice").cast("string")
     return orders.select(
         F.col("o_orderkey").alias("doc_id"),
