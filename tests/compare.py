@@ -21,6 +21,9 @@ TABLES = (
 
 TIMES: dict[str, float] = {}
 
+# DuckDB's name for each Spark type the queries return.
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -57,6 +60,10 @@ def differences(spark, connection, fn, oracle: str, sf_dir: str) -> list[str]:
     problems = []
     if sorted(frame.columns) != sorted(names):
         return [f"columns {sorted(frame.columns)} != {sorted(names)}"]
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    for name, kind in frame.dtypes:
+        if SQL_TYPES.get(kind) != kinds[name]:
+            problems.append(f"{name} is {kind}, in SQL {kinds[name]}")
     if len(got) != len(want):
         problems.append(f"{len(got)} rows != {len(want)}")
     if got != want:

@@ -162,3 +162,18 @@ def test_hot_key_is_split_by_the_skew_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_one_per_key_is_trimmed_before_the_shuffle(spark):
+    plan = quality.dedup_latest(frame(spark, [event()]), ties="one")._jdf.queryExecution().executedPlan().toString()
+    below_shuffle = plan.split("Exchange hashpartitioning(event_id", 1)[1]
+    assert "WindowGroupLimit" in below_shuffle
+
+
+def test_null_date_check_reads_only_null_dates(spark, tmp_path):
+    """The subquery's filter reaches the scan, below the deduplication."""
+    path = str(tmp_path / "events")
+    frame(spark, [event("a", date="2024-01-01")]).write.parquet(path)
+    plan = files.ingest_parquet(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    subquery = plan.split("scalar-subquery", 1)[1]
+    assert subquery.index("Join LeftSemi") < subquery.index("isnull(date")

@@ -44,6 +44,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 
 
 def test_first_arrival_wins_within_the_watermark(spark, tmp_path):
+    ingest.use_rocksdb_state(spark)
     source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     land(spark, source, [event("a", product="first"), event("b")])
     for late in (None, [event("a", ts=T1 + dt.timedelta(hours=1), product="second"), event("c")]):
