@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -124,7 +126,13 @@ def automation_rate(classified: DataFrame) -> DataFrame:
     )
 
 
-def classify_with(docs: DataFrame, model: Transformer, labels: list[str], **options) -> DataFrame:
-    """Classify with any transformer that turns ``clean`` into an array column ``scores``."""
-    ready = classifier_input(docs, **options)
-    return label_scores(model.transform(ready), F.col("scores"), labels)
+def classify_with(
+    docs: DataFrame, score: Callable[[DataFrame], DataFrame], labels: list[str], text: str = "text", **options
+) -> DataFrame:
+    """Classify with a model from elsewhere.
+
+    ``score`` gets the cleaned documents and adds the array column ``scores``,
+    one probability per label (``predict_batch_udf`` gives it in batches).
+    """
+    ready = classifier_input(docs, text, **options)
+    return label_scores(score(ready), F.col("scores"), labels).drop("scores", "words", "clean")

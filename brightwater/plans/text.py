@@ -288,9 +288,18 @@ def extract_obligations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("entity_table")
+@query(
+    "entity_table",
+    f"""WITH {sql.CONTRACTS},
+        m AS (SELECT doc_id, text AS body, unnest(regexp_extract_all(text, {quoted(extraction.ANY_ENTITY)})) AS text FROM contracts)
+        SELECT doc_id, text, CASE WHEN regexp_full_match(text, {quoted(extraction.MONEY_PATTERN)}) THEN 'MONEY'
+                 WHEN regexp_full_match(text, {quoted(extraction.DATE_PATTERN)}) THEN 'DATE' ELSE 'ORG' END AS label,
+               CAST(strpos(body, text) - 1 AS INTEGER) AS start, CAST(strpos(body, text) - 1 + length(text) AS INTEGER) AS end_,
+               CAST(1 AS DOUBLE) AS confidence FROM m""",
+)
 def entity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.entity_table(contract_texts(spark, sf_dir))
+    """No entity occurs twice in a contract, so SQL finds the offsets by searching."""
+    return documents.entity_table(contract_texts(spark, sf_dir)).withColumnRenamed("end", "end_")
 
 
 def _of_type_sql(pattern: str) -> str:
@@ -318,12 +327,22 @@ def extraction_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("extract_batch")
+@query(
+    "extract_batch",
+    f"""WITH t AS (SELECT concat('doc_', CAST(row_number() OVER () - 1 AS VARCHAR)) AS doc_id, {clean_sql('text')} AS t
+                   FROM conversations),
+        f AS (SELECT doc_id, regexp_extract_all(t, {quoted(extraction.ANY_ENTITY)}) AS found,
+                     list_filter({sentences_sql('t')}, lambda s: regexp_matches(s, {LEXICON_SQL})) AS duties, t FROM t)
+        SELECT doc_id, CAST(len(found) AS INTEGER) AS entity_count, {_of_type_sql(extraction.DATE_PATTERN)} AS dates,
+               array_to_string(duties, '|') AS obligations, length(t) AS chars FROM f""",
+)
 def extract_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns have no document id, so they are numbered."""
-    turns = table(spark, sf_dir, "conversations").select("text")
-    return documents.extract_batch(turns).select(
-        "doc_id", "entity_count", joined("dates").alias("dates"), joined("obligations").alias("obligations")
+    """Conversation turns have no document id, so they are numbered; their length shows the order."""
+    turns = documents.with_document_ids(table(spark, sf_dir, "conversations").select("text"))
+    lengths = turns.select("doc_id", F.length(tx.clean_text(F.col("text"), normalize=False)).cast("bigint").alias("chars"))
+    found = documents.extract_batch(table(spark, sf_dir, "conversations").select("text"), normalize=False)
+    return found.join(lengths, "doc_id").select(
+        "doc_id", "entity_count", joined("dates").alias("dates"), joined("obligations").alias("obligations"), "chars"
     )
 
 

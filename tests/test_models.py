@@ -52,6 +52,21 @@ def test_train_all_logs_runs_and_saves_models(spark, separable, tmp_path):
     assert sorted(again.collect()) == sorted(first.collect())
 
 
+def test_a_model_with_its_preparation_survives_saving(spark, tmp_path):
+    from pyspark.ml import Pipeline
+
+    from brightwater.operators import prep
+
+    rows = spark.createDataFrame([(f"k{i}", float(i % 9), None if i % 5 == 0 else float(i), float(i % 2)) for i in range(60)], "key string, a double, b double, label double")
+    stages = [prep.FeatureSelector(["a", "b"], ["key", "label"]), prep.Clipper(["a", "b"]), prep.Filler(["a", "b"]), prep.Scaler(["a", "b"])]
+    model = models.fit_with_preparation(rows, Pipeline(stages=stages), ["a", "b"], "random_forest", "classification", **FEW["random_forest"])
+    models.save_model(model, str(tmp_path / "model"))
+    loaded = models.load_model(str(tmp_path / "model"))
+    first, again = (sorted(scoring.batch_predict(rows, m).select("key", "a", "prediction", "churn_probability").collect()) for m in (model, loaded))
+    assert first == again
+    assert [r.a for r in first] == [r.a for r in sorted(rows.select("key", "a").collect())]
+
+
 def test_regression_metrics(spark, separable):
     rows = separable.withColumn("label", F.col("a") * 2 + 10)
     results, _ = models.train_all(rows, rows, ["a", "b"], task="regression", names=["random_forest"], overrides=FEW)

@@ -179,6 +179,17 @@ def test_classifier_learns_five_labels(spark):
     assert auto.count() + review.count() == len(rows)
 
 
+def test_classifying_with_another_model(spark):
+    docs = spark.createDataFrame([(1, "<b>Court</b> order"), (2, "cats")], "doc_id int, text string")
+
+    def score(df):
+        return df.withColumn("scores", tx.softmax(F.array(F.size("words") * 1.0, F.lit(1.5))))
+
+    out = {r.doc_id: r for r in classify.classify_with(docs, score, ["legal", "other"]).collect()}
+    assert (out[1].label, out[2].label, out[1].text_snippet) == ("legal", "other", "Court order")
+    assert all(r.requires_review for r in out.values())
+
+
 def test_automation_rate_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], "requires_review boolean")
     assert classify.automation_rate(empty).head().automation_rate is None
