@@ -98,7 +98,8 @@ def _prepared_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _prepared_split(spark, sf_dir)
     _, log = models.train_all(train, valid, CHURN_FEATURES, overrides=FEW_TREES)
-    return log
+    values = [F.col("metrics")[m].alias(m) for m in ("accuracy", "f1", "roc_auc")]
+    return log.select("run", "model", "task", "train_size", F.to_json("params").alias("params"), *values)
 
 
 @query("early_stopping")
@@ -132,7 +133,7 @@ def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = models.cross_validate(
         rows, CHURN_FEATURES, CHURN_KEYS, grid={"maxDepth": [2, 4]}, **FEW_TREES["random_forest"]
     )
-    return models.fold_scores(spark, fitted)
+    return models.fold_scores(spark, fitted).withColumn("params", F.to_json("params"))
 
 
 def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
