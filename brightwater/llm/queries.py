@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brightwater.llm import bpe
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
@@ -13,3 +14,8 @@ __all__ = ["ORACLES", "QUERIES"]
 @query("op7_quality")
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_operator.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
