@@ -13,8 +13,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 # White space as the vocabulary's own library understands \s (fixed values).
 WHITE_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -276,7 +278,7 @@ def _int_lists(rows: list[list[int]]) -> pa.Array:
 def _small(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a column has a few megabytes in each; a longer row stands alone."""
     for batch in batches:
-        sizes = batch.column(column).value_lengths() if pa.types.is_list(batch.column(column).type) else pa.compute.binary_length(batch.column(column))
+        sizes = batch.column(column).value_lengths() if pa.types.is_list(batch.column(column).type) else pc.binary_length(batch.column(column))
         total = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False))
         first = 0
         while first < len(total):
@@ -310,7 +312,7 @@ def encode(
 
     frame = frame.drop(ids_col) if ids_col != text_col else frame
     at = frame.columns.index(text_col)
-    return frame.mapInArrow(run, frame.schema.add(ids_col, "array<int>"))
+    return frame.mapInArrow(run, frame.schema.add(ids_col, ArrayType(IntegerType())))
 
 
 def decode(frame: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -334,7 +336,7 @@ def decode(frame: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", byte
 
     frame = frame.drop(bytes_col)
     at = frame.columns.index(ids_col)
-    return frame.mapInArrow(run, frame.schema.add(bytes_col, "binary"))
+    return frame.mapInArrow(run, frame.schema.add(bytes_col, BinaryType()))
 
 
 @functools.cache

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightwater.llm import bpe
+from brightwater.llm import bpe, exact
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
@@ -19,3 +19,16 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_bpe")
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op8_exact_dedup",
+    """WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)""",
+)
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.exact_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
