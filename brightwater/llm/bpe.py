@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 # White space as the vocabulary's own library understands \s (fixed values).
 WHITE_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -312,7 +312,7 @@ def encode(
 
     frame = frame.drop(ids_col) if ids_col != text_col else frame
     at = frame.columns.index(text_col)
-    return frame.mapInArrow(run, frame.schema.add(ids_col, ArrayType(IntegerType())))
+    return frame.mapInArrow(run, StructType([*frame.schema, StructField(ids_col, ArrayType(IntegerType()))]))
 
 
 def decode(frame: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -336,7 +336,7 @@ def decode(frame: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", byte
 
     frame = frame.drop(bytes_col)
     at = frame.columns.index(ids_col)
-    return frame.mapInArrow(run, frame.schema.add(bytes_col, BinaryType()))
+    return frame.mapInArrow(run, StructType([*frame.schema, StructField(bytes_col, BinaryType())]))
 
 
 @functools.cache
