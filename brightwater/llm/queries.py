@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightwater.llm import bpe, exact
+from brightwater.llm import bpe, exact, minhash
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = r"[^\x20\x09-\x0D]+"
+
 __all__ = ["ORACLES", "QUERIES"]
 
 
@@ -32,3 +35,23 @@ FROM d WINDOW same AS (PARTITION BY t)""",
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query(
+    "op10_minhash",
+    f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORDS}') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+                             WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w)),
+n AS (SELECT doc_id, count(*) AS k FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+          WHERE 100 * pairs.k >= 80 * (x.k + y.k - pairs.k)),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS id, doc_id AS r FROM documents UNION SELECT reach.id, sym.b FROM reach JOIN sym ON reach.r = sym.a),
+c AS (SELECT id, min(r) AS m FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n.k, 0) AS n_shingles, m AS component_id, d.doc_id = m AS kept
+FROM documents d JOIN c ON d.doc_id = c.id LEFT JOIN n ON d.doc_id = n.doc_id""",
+)
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_components(table(spark, sf_dir, "documents"), size=4, percent=80)
