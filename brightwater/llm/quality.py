@@ -6,6 +6,7 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -306,6 +307,13 @@ def score_quality(statistics: DataFrame, model: QualityModel) -> DataFrame:
     return statistics.select("id", "x").mapInArrow(functools.partial(run, model), f"id {kind}, score double")
 
 
+def _training(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``id, y, fold`` of the rows that may teach."""
+    rest = F.crc32(F.col(id_col).cast("string")) % 3
+    train = labels.where(rest != 1).where(F.col(label_col).isin(0, 1))
+    return train.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"), (rest / 2).cast("int").alias("fold"))
+
+
 def quality(
     documents: DataFrame,
     labels: DataFrame,
@@ -324,13 +332,26 @@ def quality(
     fit at once; texts are read once, their statistics kept in the shared folder.
     """
     statistics = written(statistics_table(documents, id_col, text_col), "statistics")
-    rest = F.crc32(F.col(id_col).cast("string")) % 3
-    train = labels.where(rest != 1).where(F.col(label_col).isin(0, 1))
-    train = train.select(
-        F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"), (rest / 2).cast("int").alias("fold")
-    )
-    model = fit_quality(statistics, train, **options)
+    model = fit_quality(statistics, _training(labels, id_col, label_col), **options)
     held = F.coalesce(F.crc32(F.col("id").cast("string")) % 3 == 1, F.lit(True))
     return score_quality(statistics, model).select(
         F.col("id").alias(id_col), held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def quality_filter(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """The documents whose score is 0.5 or more, with their own columns.
+
+    The model is that of ``quality``; only labelled documents are read to fit
+    it. Every row is scored by its own text, without a join, so repeated and
+    null ids keep what their texts deserve.
+    """
+    train = _training(labels, id_col, label_col)
+    ids = written(train.select(F.col("id").alias(id_col)).distinct(), "labelled")
+    model = fit_quality(statistics_table(documents.join(ids, id_col, "left_semi"), id_col, text_col), train)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(text_statistics(pa.array(texts, type=pa.large_string(), from_pandas=True))))
+
+    return documents.where(score(F.col(text_col)) >= 0.5)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightwater.llm import bpe, exact, minhash
+from brightwater.llm import bpe, exact, minhash, mixing
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
@@ -55,3 +55,25 @@ FROM documents d JOIN c ON d.doc_id = c.id LEFT JOIN n ON d.doc_id = n.doc_id"""
 )
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+@query(
+    "op2_mixing",
+    f"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w FROM d GROUP BY source),
+c AS (SELECT *, CAST(2 * source_size AS DOUBLE) AS cap, sum(source_size) OVER () * CAST(1.5 AS DOUBLE) AS goal FROM s),
+r AS (SELECT *, (goal - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
+t AS (SELECT source, source_size, least(cap, w * max(CASE WHEN cap >= level * w THEN level END) OVER ()) AS target FROM r),
+p AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d),
+q AS (SELECT p.*, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS turns
+      FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(turns * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - turns * source_size - start)) AS BIGINT) AS taken
+FROM q""",
+)
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, taken = mixing.mix(table(spark, sf_dir, "documents"))
+    return taken.select(taken["id"].alias("doc_id"), "size", "source_size", "target", "taken")
