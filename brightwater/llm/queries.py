@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brightwater.llm import bpe, exact, minhash, mixing
+from brightwater.llm import bpe, exact, html, minhash, mixing
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
@@ -77,3 +78,9 @@ FROM q""",
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, taken = mixing.mix(table(spark, sf_dir, "documents"))
     return taken.select(taken["id"].alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op4_html")
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
