@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwater.llm import bpe, exact, html, minhash, mixing
+from brightwater.llm import bpe, exact, html, minhash, mixing, secrets
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
@@ -84,3 +84,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(documents, F.concat_ws("/", "source", "lang"), F.col("source"))
+    base = F.filter("secrets", lambda s: s["rank"] < 3)
+
+    def count(field: str, value: str):
+        return F.size(F.filter("secrets", lambda s: s[field] == value)).cast("long").alias(f"n_{value}")
+
+    return found.select(
+        "doc_id",
+        *(count("kind", k) for k in ("assign", "access", "hex")),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("secrets")).alias("spans"),
+        count("verdict", "live"),
+        count("verdict", "copied"),
+    )
