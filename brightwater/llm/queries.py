@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwater.llm import bpe, exact, html, minhash, mixing, secrets
+from brightwater.llm import bpe, embeddings, exact, html, minhash, mixing, secrets
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
@@ -103,3 +103,19 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         count("verdict", "live"),
         count("verdict", "copied"),
     )
+
+
+@query(
+    "op6_embeddings",
+    """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(e, lambda x: x <> 0)) > 0),
+sym AS (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y
+        ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93),
+reach AS (SELECT vec_id AS id, vec_id AS r FROM v UNION SELECT reach.id, sym.b FROM reach JOIN sym ON reach.r = sym.a),
+c AS (SELECT id, min(r) AS m FROM reach GROUP BY id), n AS (SELECT a, count(*) AS k FROM sym GROUP BY a)
+SELECT vec_id, coalesce(k, 0) AS n_links, m AS component_id, vec_id = m AS kept
+FROM v JOIN c ON vec_id = c.id LEFT JOIN n ON vec_id = n.a""",
+)
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
