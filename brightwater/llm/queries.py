@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwater.llm import bpe, embeddings, exact, html, minhash, mixing, secrets
+from brightwater.llm import bpe, embeddings, exact, html, minhash, mixing, secrets, substrings
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
@@ -119,3 +119,19 @@ FROM v JOIN c ON vec_id = c.id LEFT JOIN n ON vec_id = n.a""",
 )
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query(
+    "op9_substrings",
+    f"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS ws FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS p, ws FROM w),
+s AS (SELECT doc_id, p, row_number() OVER (PARTITION BY array_to_string(ws[p:p + 19], ' ') ORDER BY doc_id, p) AS k FROM g),
+cov AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS q FROM s WHERE k > 1),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS q FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY q) AS t FROM words ANTI JOIN cov USING (doc_id, q) GROUP BY doc_id),
+gone AS (SELECT doc_id, count(*) AS k FROM cov GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(k, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id LEFT JOIN gone ON w.doc_id = gone.doc_id""",
+)
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), window=20)
