@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from pyspark.sql.window import Window
 
 from brightwater.llm import text as T
 from brightwater.llm.components import components
+from brightwater.llm.embeddings import spanning_roots
 from brightwater.session import written
 
-HUB_ROUNDS = 2
+BLOCK = 256
 
 
 def match_threshold(coordinates: int, similarity: float, miss: float) -> int:
@@ -143,6 +145,66 @@ def _placed(postings: DataFrame, links: DataFrame | None) -> DataFrame:
     return placed.join(written(mixed, "mixed-lists"), "token")
 
 
+def _largest(placed: DataFrame, key: str) -> DataFrame:
+    """``key, most``: the component with the most nodes in each list or family that has several."""
+    counts = placed.groupBy(key, "comp").agg(F.count("*").alias("n"))
+    largest = counts.groupBy(key).agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("k")).where("k > 1")
+    return written(largest.select(key, F.col("m.comp").alias("most")), "largest")
+
+
+def _shared(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of one list with each of another."""
+    values = np.concatenate([*one, *other])
+    owner = np.repeat(np.arange(len(one) + len(other)), list(map(len, [*one, *other])))
+    _, number, count = np.unique(values, return_inverse=True, return_counts=True)
+    keep = count[number] > 1  # what one set alone holds is in no intersection
+    number, owner = number[keep], owner[keep]
+    number = np.unique(number, return_inverse=True)[1]
+    total = np.zeros((len(one), len(other)), dtype=np.int64)
+    width = int(number.max()) + 1 if len(number) else 0
+    for first in range(0, width, 8192):
+        here = (number >= first) & (number < first + 8192)
+        part = np.zeros((len(one) + len(other), 8192), dtype=np.float32)
+        part[owner[here], number[here] - first] = 1
+        total += (part[: len(one)] @ part[len(one) :].T).astype(np.int64)
+    return total
+
+
+def _family_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links inside families that join components: ``a, b`` of one spanning forest for each pair of blocks.
+
+    A family is the nodes that one hub stands for. Those outside its largest component are
+    compared with all its nodes, block against block on full sets; a task has two blocks of about
+    ``BLOCK`` nodes, and returns one edge per node in place of the pairs.
+    """
+    split = members.join(_largest(members, "family"), "family")
+    sizes = split.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    split = written(split, "families").join(written(sizes, "family-sizes"), "family").join(sets, "node")
+    split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    columns = ["family", "node", "comp", "shingles"]
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    left = split.where("comp <> most").select(*columns, F.col("block").alias("i"), every.alias("j"))
+    right = split.select(*columns, F.col("block").alias("j"), every.alias("i")).toDF(*columns, "j", "i")  # columns of its own
+    kind = members.schema["node"].dataType.simpleString()
+
+    def compare(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple] = []
+        if len(one) and len(other):
+            a, b = list(one["shingles"]), list(other["shingles"])
+            both = _shared(a, b)
+            sizes_a, sizes_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (a, b))
+            near = 100 * both >= percent * (sizes_a[:, None] + sizes_b[None, :] - both)
+            near &= one["comp"].to_numpy()[:, None] != other["comp"].to_numpy()[None, :]
+            i, j = np.nonzero(near)
+            root = spanning_roots(len(a) + len(b), i, j + len(a))
+            names = [*one["node"], *other["node"]]
+            found = [(names[k], names[root[k]]) for k in np.flatnonzero(root != np.arange(len(root)))]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    keys = ["family", "i", "j"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, f"a {kind}, b {kind}")
+
+
 def _ordered(one: str, other: str) -> list:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
@@ -169,10 +231,11 @@ def near_components(
     tokens (coordinate and value). A pair must match in ``match_threshold``
     coordinates, so it meets in the prefix: tokens that nobody shares count
     first, then the rarest, and a node with fewer shared tokens than the threshold posts nothing.
-    In each list nodes first meet a hub; links join them to components, and only
-    pairs of different components need be looked at, at last all of them. A pair's
-    collisions are counted on its signatures, and it is confirmed on the full sets. Links
-    within a component are not listed; none that joins two components is lost, but for the
+    In each list nodes first meet its hub, the node with the most common tokens; links join them to
+    components, and only pairs of different components need be looked at, then all of them:
+    nodes of one hub's family block against block on full sets, pairs of
+    two families as rows. A pair's collisions are counted on its signatures, and it is confirmed on
+    the full sets. Links within a component are not listed; none that joins two components is lost, but for the
     signature's error: a pair exactly at the threshold is overlooked with probability ``miss`` at most.
     """
     threshold = match_threshold(coordinates, percent / 100, miss)
@@ -185,38 +248,38 @@ def near_components(
     firsts = written(firsts.select("id", "sig"), "node-signatures")
     tokens = firsts.select(F.col("id").alias("node"), F.explode("sig").alias("token"))
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "shared-tokens")
+    by_node = Window.partitionBy("node")
     ranked = tokens.join(shared, "token").withColumns(
         {
-            "rank": F.row_number().over(Window.partitionBy("node").orderBy("c", "token")),
-            "s": F.count("*").over(Window.partitionBy("node")),
+            "rank": F.row_number().over(by_node.orderBy("c", "token")),
+            "s": F.count("*").over(by_node),
+            "weight": F.sum("c").over(by_node),
         }
     )
-    postings = written(ranked.where(F.col("rank") <= F.col("s") - threshold + 1).select("node", "token"), "postings")
+    postings = written(ranked.where(F.col("rank") <= F.col("s") - threshold + 1).select("node", "token", "weight"), "postings")
     active = written(postings.select("node").distinct(), "active")
     sigs = written(firsts.join(active, F.col("id") == F.col("node")).select("node", "sig"), "active-signatures")
     wanted = active.join(nodes, "node").select("node", "f1", "f2")
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sets = written(_set_table(texts.join(wanted, F.col("id") == F.col("node")), size), "sets")
 
-    links, tested = None, None
-    for turn in range(HUB_ROUNDS):
-        placed = _placed(postings, links)
-        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-        hubs = written(placed.groupBy("token").agg(F.min(order).alias("m")).select("token", "m.hub", "m.hub_comp"), "hubs")
-        pairs = placed.join(hubs, "token").where("comp <> hub_comp").select(*_ordered("node", "hub")).distinct()
-        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "hub-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = written(_confirmed(pairs, sigs, sets, threshold, percent), "links")
-        links = new if links is None else links.unionByName(new)
-    placed = _placed(postings, links)
-    counts = placed.groupBy("token", "comp").agg(F.count("*").alias("n"))
-    largest = written(counts.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("m")).select("token", F.col("m.comp").alias("most")), "largest")
-    placed = written(placed.join(largest, "token"), "placed")
-    others = placed.where("comp <> most").select("token", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-    pairs = placed.join(others, "token").where("comp <> other_comp AND (comp = most OR node < other)")
-    pairs = pairs.select(*_ordered("node", "other")).distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(written(_confirmed(written(pairs, "rest-pairs"), sigs, sets, threshold, percent), "links"))
+    # The node whose tokens are the most common is the likeliest centre of its lists.
+    placed = _placed(postings, None)
+    best = F.struct("weight", F.xxhash64("node").alias("h"), F.col("node").alias("hub"))
+    hubs = written(placed.groupBy("token").agg(F.max(best).alias("m")).select("token", F.col("m.hub").alias("hub"), F.col("m.weight").alias("hub_weight")), "hubs")
+    met = placed.join(hubs, "token")
+    pairs = written(met.where("node <> hub").select(*_ordered("node", "hub")).distinct(), "hub-pairs")
+    families = met.groupBy("node").agg(F.max(F.struct("hub_weight", "hub")).alias("m")).select("node", F.col("m.hub").alias("family"))
+    families = written(families, "families")
+    links = written(_confirmed(pairs, sigs, sets, threshold, percent), "links")
+    placed = written(_placed(postings, links).join(families, "node"), "placed")
+    within = written(_family_links(placed.select("family", "node", "comp").distinct(), sets, percent), "family-links")
+    largest = _largest(placed, "token")
+    placed = placed.join(largest, "token")
+    others = written(placed.where("comp <> most").select("token", F.col("node").alias("other"), F.col("comp").alias("other_comp"), F.col("family").alias("other_family")), "others")
+    across = placed.join(others, "token").where("comp <> other_comp AND family <> other_family AND (comp = most OR node < other)")
+    across = across.select(*_ordered("node", "other")).distinct().join(pairs, ["a", "b"], "left_anti")
+    links = links.unionByName(within).unionByName(written(_confirmed(written(across, "rest-pairs"), sigs, sets, threshold, percent), "links"))
 
     # Several sets of one id are one node: join them through the id.
     found = written(components(links.unionByName(_repeats(table, nodes))), "components").withColumnRenamed("id", "node")
