@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightwater.schema import LOOKBACK_DAYS, ROLLING_DAYS
+from brightwater.schema import LOOKBACK_DAYS, ROLLING_DAYS, require_columns
 
 AsOf = str | date | datetime | None
 
@@ -17,9 +17,7 @@ def as_of_column(as_of: AsOf) -> Column:
 
 
 def select_features(df: DataFrame, columns: list[str]) -> DataFrame:
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"Columns missing from input: {missing}")
+    require_columns(df.columns, columns)
     return df.select(*columns)
 
 

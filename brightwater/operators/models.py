@@ -7,11 +7,11 @@ from dataclasses import asdict, dataclass, fields, replace
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,17 +73,15 @@ def model_for(
     task: str = "classification",
     features_col: str = "features",
     label_col: str = "label",
-    validation_col: str | None = None,
     **overrides: Any,
 ) -> tuple[Estimator, Any]:
     """Estimator and configuration of a family.
 
     Names ignore case, unknown overrides are ignored, and any task other than
-    ``classification`` means regression. ``validation_col`` (boolean) marks the
-    rows that stop boosting early.
+    ``classification`` means regression.
     """
     if name.lower() not in FAMILIES:
-        raise ValueError(f"Unknown model '{name}'. Choose from: {', '.join(MODEL_NAMES)}")
+        raise ValueError(f"Unknown model: {name!r} is none of {MODEL_NAMES}")
     default = FAMILIES[name.lower()]
     known = {f.name for f in fields(default)}
     config = replace(default, **{k: v for k, v in overrides.items() if k in known})
@@ -116,8 +114,6 @@ def model_for(
         minInstancesPerNode=least,
         **shared,
     )
-    if validation_col:
-        model.setValidationIndicatorCol(validation_col)
     return model, config
 
 
@@ -155,6 +151,50 @@ RUN_LOG_SCHEMA = T.StructType(
 )
 
 
+def fit_boosted(estimator: Estimator, rows: DataFrame, valid: DataFrame, patience: int = 50) -> Model:
+    """Boosted trees up to the best round on ``valid``.
+
+    Rounds stop when ``patience`` of them have brought no lower validation loss, or at
+    the estimator's ``maxIter``. MLlib's own rule looks at one round only, so the ensemble
+    is grown to a few rounds past the patience, and again to twice as many as long as the best
+    round is too near its end. The same seed grows the same first trees.
+    """
+    most = estimator.getMaxIter()
+    rounds = min(most, patience + 16)
+    while True:
+        fitted = estimator.copy({estimator.maxIter: rounds}).fit(rows)
+        if isinstance(fitted, GBTRegressionModel):
+            losses = fitted.evaluateEachIteration(valid, estimator.getLossType())
+        else:
+            losses = fitted.evaluateEachIteration(valid)
+        best = 0
+        for i, loss in enumerate(losses):
+            if loss < losses[best]:
+                best = i
+            elif i - best >= patience:
+                return first_trees(fitted, best + 1)
+        if rounds == most:
+            return first_trees(fitted, best + 1)
+        rounds = min(most, 2 * rounds)
+
+
+def first_trees(model: Model, count: int) -> Model:
+    """The same boosted model with its first trees only."""
+    old = model._java_obj
+    jvm = SparkSession.getActiveSession()._jvm
+    gateway = SparkSession.getActiveSession().sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, count)
+    weights = gateway.new_array(gateway.jvm.double, count)
+    all_trees, all_weights = old.trees(), old.treeWeights()
+    for i in range(count):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    if isinstance(model, GBTRegressionModel):
+        new = jvm.org.apache.spark.ml.regression.GBTRegressionModel(old.uid(), trees, weights, old.numFeatures())
+    else:
+        new = jvm.org.apache.spark.ml.classification.GBTClassificationModel(old.uid(), trees, weights, old.numFeatures(), old.numClasses())
+    return model._copyValues(type(model)(old.copyValues(new, jvm.org.apache.spark.ml.param.ParamMap.empty())))
+
+
 def train_all(
     train: DataFrame,
     valid: DataFrame,
@@ -170,25 +210,25 @@ def train_all(
 
     Returns per name the fitted model, its metrics and its saved path, and the
     run log as a table. Runs jobs; the assembled frames are persisted once and
-    serve every family.
+    serve every family. With ``early_stopping`` the boosted families end at the best
+    round on ``valid`` (see ``fit_boosted``). Names and overrides ignore case.
     """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
-    keep = ["features", label_col, "_valid"]
+    keep = ["features", label_col]
     stage = assemble(columns)
-    fit_rows = stage.transform(train.withColumn("_valid", F.lit(False))).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    valid_rows = stage.transform(valid.withColumn("_valid", F.lit(True))).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_rows = stage.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    valid_rows = stage.transform(valid).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    chosen = {k.lower(): v for k, v in (overrides or {}).items()}
     results: dict[str, dict[str, Any]] = {}
     log = []
     try:
         size = fit_rows.count()
         for name in names or MODEL_NAMES:
-            stopping = early_stopping and name.lower() != "random_forest"
-            estimator, config = model_for(
-                name, task, label_col=label_col, validation_col="_valid" if stopping else None, **(overrides or {}).get(name, {})
-            )
+            estimator, config = model_for(name, task, label_col=label_col, **chosen.get(name.lower(), {}))
             began = time.perf_counter()
-            fitted = estimator.fit(fit_rows.unionByName(valid_rows) if stopping else fit_rows)
+            stopping = early_stopping and not isinstance(config, ForestConfig)
+            fitted = fit_boosted(estimator, fit_rows, valid_rows) if stopping else estimator.fit(fit_rows)
             seconds = time.perf_counter() - began
             metrics = evaluate.evaluate_model(fitted.transform(valid_rows), label_col, task)
             metrics["train_duration_sec"] = round(seconds, 2)
@@ -216,11 +256,14 @@ def cross_validate(
     seed: int = 42,
     parallelism: int = 2,
     grid: dict[str, list[Any]] | None = None,
+    preparation: Pipeline | None = None,
     **overrides: Any,
 ) -> CrossValidatorModel:
     """k-fold cross-validation with folds fixed by the keys' hash.
 
-    ``grid`` maps estimator parameter names (``maxDepth`` ...) to the values tried.
+    ``grid`` maps estimator parameter names (``maxDepth`` ...) to the values tried. A
+    ``preparation`` is fitted anew inside each fold, on that fold's training rows;
+    it must keep the label.
     """
     ensure_checkpoint_dir(df.sparkSession)
     model, _ = model_for(name, task, label_col=label_col, **overrides)
@@ -232,15 +275,14 @@ def cross_validate(
     for parameter, values in (grid or {}).items():
         combos.addGrid(model.getParam(parameter), values)
     validator = CrossValidator(
-        estimator=model,
+        estimator=Pipeline(stages=[*(preparation.getStages() if preparation else []), assemble(columns), model]),
         estimatorParamMaps=combos.build(),
         evaluator=evaluator,
         numFolds=folds,
         foldCol="_fold",
         parallelism=parallelism,
     )
-    rows = assemble(columns).transform(df).select("features", label_col, hash_bucket(keys, folds, seed).alias("_fold"))
-    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.withColumn("_fold", hash_bucket(keys, folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return validator.fit(kept)
     finally:
@@ -264,12 +306,29 @@ def load_model(path: str) -> PipelineModel:
 
 
 def fit_with_preparation(
-    df: DataFrame, preparation: Pipeline, columns: list[str], name: str, task: str, label_col: str = "label", **overrides: Any
+    df: DataFrame,
+    preparation: Pipeline,
+    columns: list[str],
+    name: str,
+    task: str,
+    label_col: str = "label",
+    valid: DataFrame | None = None,
+    **overrides: Any,
 ) -> PipelineModel:
     """One model holding the preparation, the assembler and the trees.
 
-    Reads ``df`` several times, so pass a table or a persisted frame.
+    Reads ``df`` several times, so pass a table or a persisted frame. With
+    ``valid`` rows boosting ends at the best round on them; the preparation learns from ``df`` alone.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    estimator, _ = model_for(name, task, label_col=label_col, **overrides)
-    return Pipeline(stages=[*preparation.getStages(), assemble(columns), estimator]).fit(df)
+    estimator, config = model_for(name, task, label_col=label_col, **overrides)
+    stages = [*preparation.getStages(), assemble(columns)]
+    if valid is None or isinstance(config, ForestConfig):
+        return Pipeline(stages=[*stages, estimator]).fit(df)
+    before = Pipeline(stages=stages).fit(df)
+    rows, held = (before.transform(x).select("features", label_col).persist(StorageLevel.MEMORY_AND_DISK) for x in (df, valid))
+    try:
+        return PipelineModel([*before.stages, fit_boosted(estimator, rows, held)])
+    finally:
+        rows.unpersist()
+        held.unpersist()

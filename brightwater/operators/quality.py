@@ -28,7 +28,13 @@ def filter_anomalies(df: DataFrame) -> DataFrame:
 
 
 def filter_quality(df: DataFrame) -> DataFrame:
-    return df.transform(filter_mandatory).transform(filter_anomalies)
+    """The rows that have no reason to be rejected; what reading could not parse goes too."""
+    return df.filter(is_valid(df))
+
+
+def is_valid(df: DataFrame) -> Column:
+    """The one rule that cleaning, statistics and dead letters share."""
+    return F.size(reject_reasons(df)) == 0
 
 
 def _latest_match(df: DataFrame, key: str, ts: str, null_safe: bool) -> tuple[DataFrame, Column]:
@@ -102,9 +108,21 @@ def add_partition_date(df: DataFrame, mode: str = "all_or_nothing", check: DataF
 
 
 def clean_events(df: DataFrame, ties: str = "keep", date_mode: str = "all_or_nothing") -> DataFrame:
-    """Quality filters, then deduplication, then the partition date."""
-    kept = dedup_latest(filter_quality(df), ties=ties, null_safe=False)
-    return add_partition_date(kept, mode=date_mode)
+    """Quality filters, then deduplication, then the partition date.
+
+    With ``ties="keep"`` and an all-or-nothing date the source is read twice:
+    one aggregate gives each key's latest instant and whether a row there lacks a date, and the
+    rows meet it in the semi join. The deduplication is not repeated for the date test.
+    """
+    valid = filter_quality(df)
+    if ties != "keep" or date_mode != "all_or_nothing" or "date" not in df.columns or df.isStreaming:
+        return add_partition_date(dedup_latest(valid, ties=ties, null_safe=False), mode=date_mode)
+    per_key = valid.groupBy(F.col("event_id").alias("_latest_key")).agg(
+        F.max(F.struct(F.col("timestamp").alias("at"), F.col("date").isNull().alias("undated"))).alias("_latest")
+    )
+    kept = valid.join(per_key, (F.col("event_id") == F.col("_latest_key")) & (F.col("timestamp") == F.col("_latest.at")), "left_semi")
+    missing = per_key.agg(F.coalesce(F.bool_or("_latest.undated"), F.lit(False))).scalar()
+    return kept.withColumn("date", F.when(missing, derived_date()).otherwise(F.col("date")))
 
 
 def ingestion_stats(df: DataFrame, source: str | None = None) -> DataFrame:
@@ -114,9 +132,9 @@ def ingestion_stats(df: DataFrame, source: str | None = None) -> DataFrame:
     cleaned frame: per key and instant, then per key the valid rows at its
     latest valid instant.
     """
-    ok = mandatory_present() & amounts_plausible()
+    ok = is_valid(df)
     per_instant = df.groupBy("event_id", "timestamp").agg(
-        F.count(F.lit(1)).alias("_read"), F.count_if(F.coalesce(ok, F.lit(False))).alias("_ok")
+        F.count(F.lit(1)).alias("_read"), F.count_if(ok).alias("_ok")
     )
     per_key = per_instant.groupBy("event_id").agg(
         F.sum("_read").alias("_read"),

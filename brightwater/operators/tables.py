@@ -7,9 +7,14 @@ a new folder because Spark cannot overwrite what it reads.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from brightwater.schema import require_columns
 from brightwater.session import estimated_bytes
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -42,9 +47,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], fmt:
     _write(df, path, "overwrite", partition_by, fmt, partitionOverwriteMode="dynamic")
 
 
-def read(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a table whose files may have gained columns over time."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+def read(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
+    """Read a table whose files may have gained columns over time.
+
+    Partition values are text in folder names; without a schema Spark guesses
+    their types ("01" becomes 1, a date string a date), so give one for tables whose partition
+    columns look like numbers or dates. An empty string comes back as null either way.
+    """
+    reader = spark.read.format(fmt).option("mergeSchema", "true")
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -80,7 +91,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], check_duplicat
 
 
 def upsert_table(
-    spark: SparkSession, path: str, source: DataFrame, keys: list[str], out_path: str, fmt: str = "parquet"
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], out_path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> None:
     """Upsert into the table at ``path``, written to ``out_path``.
 
@@ -91,22 +102,32 @@ def upsert_table(
     if not exists(spark, path):
         source.write.format(fmt).save(out_path)
         return
-    upsert(read(spark, path, fmt), source, keys).write.format(fmt).mode("errorifexists").save(out_path)
+    upsert(read(spark, path, fmt, schema), source, keys).write.format(fmt).mode("errorifexists").save(out_path)
 
 
 def upsert_partitions(
-    spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition_by: list[str], fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: list[str],
+    partition_by: list[str],
+    fmt: str = "parquet",
+    schema: StructType | None = None,
 ) -> None:
     """Upsert in place, rewriting only the partitions the source touches.
 
     Needs the partition columns among the keys, so that no matching row can sit
-    in another partition, and a source that does not read the table itself.
+    in another partition, and a source that does not read the table itself. The null partition is one
+    like any other: a source row in it keeps the rows that are there. Give the
+    table's ``schema`` if its partition values look like numbers or dates.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be among the merge keys")
-    touched = source.select(*partition_by).distinct()
-    target = read(spark, path, fmt).join(touched, partition_by, "left_semi")
-    overwrite_partitions(upsert(target, source, keys), path, partition_by, fmt)
+    target = read(spark, path, fmt, schema)
+    touched = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(f"_touched_{c}") for c in partition_by]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by]
+    kept = target.join(touched, reduce(and_, same), "left_semi")
+    overwrite_partitions(upsert(kept, source, keys), path, partition_by, fmt)
 
 
 def compact_table(
@@ -116,29 +137,29 @@ def compact_table(
     sort_by: list[str] | None = None,
     target_file_bytes: int = TARGET_FILE_BYTES,
     fmt: str = "parquet",
+    partition_by: list[str] | None = None,
+    schema: StructType | None = None,
 ) -> None:
     """Rewrite a table into few files, clustered by ``sort_by``. Contents stay the same.
 
-    File count follows the stored size. The row position breaks ties in the
-    range bounds, so one hot value is cut over several files.
+    File count follows the stored size. ``partition_by`` names the table's
+    partition columns: rows are ranged by them first, so a value's rows lie in few files and
+    the layout stays. The row position breaks ties in the range bounds, so one
+    hot value is cut over several files.
     """
-    df = read(spark, path, fmt)
+    df = read(spark, path, fmt, schema)
     files = max(1, -(-estimated_bytes(df) // target_file_bytes))
-    if sort_by:
+    order = [*(partition_by or []), *(sort_by or [])]
+    if order:
         placed = df.withColumn("_position", F.monotonically_increasing_id())
-        df = (
-            placed.repartitionByRange(files, *sort_by, "_position")
-            .sortWithinPartitions(*sort_by)
-            .drop("_position")
-        )
+        df = placed.repartitionByRange(files, *order, "_position").sortWithinPartitions(*order).drop("_position")
     else:
         df = df.repartition(files)
-    df.write.format(fmt).mode("errorifexists").save(out_path)
+    writer = df.write.format(fmt).mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(out_path)
 
 
 def feature_export(features: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """Model inputs as a DataFrame for the trainer; nothing is collected."""
-    missing = [c for c in columns if c not in features.columns]
-    if missing:
-        raise ValueError(f"Columns missing from input: {missing}")
+    require_columns(features.columns, columns)
     return features.select(*(keep or []), *[F.col(c).cast("double").alias(c) for c in columns])

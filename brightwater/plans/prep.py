@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,9 +146,8 @@ CHURN_PREPARED = f"""WITH {CHURN_SQL}, {clip_sql(CHURN_KEYS, CHURN_FEATURES)},
 
 @query("churn_preparation", CHURN_PREPARED)
 def churn_preparation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = prep.Preparations()
-    both.build_churn(CHURN_KEYS)
-    return out(both.fit_transform(churn_frame(spark, sf_dir), "churn"), CHURN_KEYS, CHURN_FEATURES)
+    frame = churn_frame(spark, sf_dir)
+    return out(prep.churn_preparation(CHURN_KEYS).fit(frame).transform(frame), CHURN_KEYS, CHURN_FEATURES)
 
 
 @query(
@@ -158,18 +157,13 @@ def churn_preparation(spark: SparkSession, sf_dir: str) -> DataFrame:
         {out_sql(DEMAND_KEYS, DEMAND_FEATURES, 'scaled')}""",
 )
 def demand_preparation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = prep.Preparations()
-    both.build_demand(DEMAND_KEYS)
-    return out(both.fit_transform(demand_frame(spark, sf_dir), "demand"), DEMAND_KEYS, DEMAND_FEATURES)
+    frame = demand_frame(spark, sf_dir)
+    return out(prep.demand_preparation(DEMAND_KEYS).fit(frame).transform(frame), DEMAND_KEYS, DEMAND_FEATURES)
 
 
 @query("preparation_save_load", CHURN_PREPARED)
 def preparation_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = prep.Preparations()
-    both.build_churn(CHURN_KEYS)
     frame = churn_frame(spark, sf_dir)
-    fitted: PipelineModel = both.fit(frame, "churn")
-    assert fitted is not None
     path = scratch_path(spark, "preparations")
-    both.save(path)
-    return out(prep.Preparations.load(spark, path).transform(frame, "churn"), CHURN_KEYS, CHURN_FEATURES)
+    prep.save_fitted({"churn": prep.churn_preparation(CHURN_KEYS).fit(frame)}, path)
+    return out(prep.load_fitted(spark, path)["churn"].transform(frame), CHURN_KEYS, CHURN_FEATURES)

@@ -56,3 +56,9 @@ LOOKBACK_DAYS = [7, 14, 30, 90]
 def feature_columns(task: str) -> list[str]:
     """Model inputs for a task; anything but churn/classification means demand."""
     return CHURN_FEATURES if task in ("churn", "classification") else DEMAND_FEATURES
+
+
+def require_columns(present: list[str], wanted: list[str]) -> None:
+    absent = sorted(set(wanted) - set(present))
+    if absent:
+        raise ValueError(f"the frame is missing {', '.join(absent)}")

@@ -67,6 +67,19 @@ def test_a_model_with_its_preparation_survives_saving(spark, tmp_path):
     assert [r.a for r in first] == [r.a for r in sorted(rows.select("key", "a").collect())]
 
 
+def test_boosting_ends_at_the_best_round_by_patience(spark, separable):
+    rows = models.assemble(["a", "b"]).transform(separable).select("features", "label")
+    noise = rows.withColumn("label", (F.rand(3) > 0.5).cast("double"))
+    estimator, _ = models.model_for("xgboost", n_estimators=40, max_depth=2, learning_rate=0.5)
+    fitted = models.fit_boosted(estimator, rows, noise, patience=3)
+    whole = estimator.fit(rows)
+    losses = whole.evaluateEachIteration(noise)
+    best = fitted.getNumTrees - 1
+    assert fitted.getNumTrees < 40 and losses[best] == min(losses[: best + 4])
+    assert list(fitted.treeWeights) == list(whole.treeWeights)[: best + 1]
+    assert fitted.transform(rows).count() == 240
+
+
 def test_regression_metrics(spark, separable):
     rows = separable.withColumn("label", F.col("a") * 2 + 10)
     results, _ = models.train_all(rows, rows, ["a", "b"], task="regression", names=["random_forest"], overrides=FEW)

@@ -170,10 +170,36 @@ def test_one_per_key_is_trimmed_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below_shuffle
 
 
-def test_null_date_check_reads_only_null_dates(spark, tmp_path):
-    """The subquery's filter reaches the scan, below the deduplication."""
+def test_the_date_test_does_not_deduplicate_again(spark, tmp_path):
     path = str(tmp_path / "events")
     frame(spark, [event("a", date="2024-01-01")]).write.parquet(path)
     plan = files.ingest_parquet(spark, path)._jdf.queryExecution().optimizedPlan().toString()
-    subquery = plan.split("scalar-subquery", 1)[1]
-    assert subquery.index("Join LeftSemi") < subquery.index("isnull(date")
+    assert "scalar-subquery" in plan and plan.count("Join LeftSemi") == 1
+
+
+def test_clean_and_dead_rows_are_all_rows(spark):
+    rows = [("a", 1, None), ("a", 2, None), ("b", 1, "{bad"), (None, 1, None), ("c", 1, None), ("c", 1, None)]
+    df = spark.createDataFrame(rows, "event_id string, at int, _corrupt string").select(
+        "event_id",
+        F.lit("u").alias("customer_id"),
+        F.timestamp_seconds("at").alias("timestamp"),
+        F.lit(1.0).alias("revenue"),
+        F.lit(1).alias("quantity"),
+        F.lit(None).cast("string").alias("date"),
+        "_corrupt",
+    )
+    clean, dead = quality.clean_events(df), quality.dead_letter(df)
+    assert (clean.count(), dead.count()) == (3, 3)
+    assert quality.ingestion_stats(df).head().records_valid == 3
+    assert all(r.date for r in clean.collect())
+
+
+def test_one_undated_survivor_dates_all_rows_anew(spark):
+    rows = [("a", 1, None), ("a", 2, "old"), ("b", 1, "kept")]
+    df = spark.createDataFrame(rows, "event_id string, at int, date string").select(
+        "event_id", F.lit("u").alias("customer_id"), F.timestamp_seconds("at").alias("timestamp"), F.lit(1.0).alias("revenue"), F.lit(1).alias("quantity"), "date"
+    )
+    # The undated row is superseded, so no survivor lacks a date.
+    assert sorted(r.date for r in quality.clean_events(df).collect()) == ["kept", "old"]
+    undated = df.unionByName(df.where("event_id = 'b'").withColumns({"event_id": F.lit("c"), "date": F.lit(None).cast("string")}))
+    assert {r.date for r in quality.clean_events(undated).collect()} == {"1970-01-01"}

@@ -84,6 +84,32 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
         tables.upsert_partitions(spark, path, source, ["id"], ["part"])
 
 
+def test_upsert_keeps_the_null_partition(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(None, 2), (None, 3), ("01", 1), ("02", 5)], "part string, id int")
+    tables.overwrite(rows, path, ["part"])
+    source = spark.createDataFrame([(None, 9), ("01", 1)], "part string, id int")
+    tables.upsert_partitions(spark, path, source, ["part", "id"], ["part"], schema=rows.schema)
+    out = tables.read(spark, path, schema=rows.schema).select("part", "id")
+    assert contents(out) == sorted([(None, 2), (None, 3), (None, 9), ("01", 1), ("02", 5)], key=str)
+
+
+def test_partition_values_keep_their_types_with_a_schema(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([("2024-01-02", "01", 1)], "date string, region string, id int")
+    tables.overwrite(rows, path, ["date", "region"])
+    assert contents(tables.read(spark, path, schema=rows.schema).select(*rows.columns)) == [("2024-01-02", "01", 1)]
+
+
+def test_compaction_keeps_partitions(spark, tmp_path):
+    path, out = str(tmp_path / "many"), str(tmp_path / "few")
+    rows = spark.range(900).select("id", F.concat(F.lit("0"), F.col("id") % 3).alias("part"))
+    tables.overwrite(rows.repartition(9), path, ["part"])
+    tables.compact_table(spark, path, out, ["id"], partition_by=["part"], schema=rows.schema)
+    assert len(glob.glob(f"{out}/part=0*/*.parquet")) == 3
+    assert contents(tables.read(spark, out, schema=rows.schema).select("id", "part")) == contents(rows)
+
+
 def test_overwrite_replaces_every_partition(spark, tmp_path):
     path = str(tmp_path / "table")
     tables.overwrite(people(spark, [(1, "a"), (2, "b")]), path, ["name"])
