@@ -52,11 +52,11 @@ def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def row_slices(bounds: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most ``limit`` bytes; a longer row stands alone."""
+def row_slices(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most ``SLICE_BYTES``; a longer row stands alone."""
     first, rows = 0, len(bounds) - 1
     while first < rows:
-        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + limit, side="right")) - 1)
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + SLICE_BYTES, side="right")) - 1)
         yield first, min(last, rows)
         first = min(last, rows)
 
