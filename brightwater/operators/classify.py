@@ -41,12 +41,16 @@ def train_classifier(
     max_words: int | None = None,
     normalize: bool = True,
 ) -> PipelineModel:
-    """Multinomial logistic regression on hashed term weights. Runs jobs."""
-    rows = classifier_input(labelled, text, max_words, normalize).select(
+    """Multinomial logistic regression on hashed term weights. Runs jobs.
+
+    Rows without a label teach nothing and are left out.
+    """
+    known = labelled.where(F.col(label_col).isNotNull())
+    rows = classifier_input(known, text, max_words, normalize).select(
         F.col(label_col).cast("string").alias("category"), "words"
     )
     stages = [
-        StringIndexer(inputCol="category", outputCol="category_index", handleInvalid="skip", stringOrderType="alphabetAsc"),
+        StringIndexer(inputCol="category", outputCol="category_index", stringOrderType="alphabetAsc"),
         HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
         IDF(inputCol="tf", outputCol="features"),
         LogisticRegression(labelCol="category_index", family="multinomial", maxIter=max_iter, regParam=reg),

@@ -9,10 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from brightwater.functions.keys import glob_regex, score_key
 from brightwater.operators.features import AsOf, as_of_column
 from brightwater.operators.tables import upsert
+from brightwater.session import written
 
 DEFAULT_TTL_SECONDS = 300
 STORE_SCHEMA = "key string, value string, written_at timestamp, ttl_seconds int"
@@ -79,17 +81,18 @@ def score_with_store(
 
     Returns (answers, store after the write-back). Each distinct payload that
     misses is scored once, however many requests carry it. ``score`` gets the
-    payload columns and adds ``outputs``; answers carry those and ``cached``.
-    Both frames contain the scoring: write one, or checkpoint it, before using
-    the other if the model is costly.
+    payload columns and adds ``outputs``, of any type that JSON holds; answers carry those, in the
+    scorer's types, and ``cached``. The lookup and the fresh scores are written to the
+    shared folder, so that both frames read what was joined and scored once.
     """
     keyed = requests.withColumn("key", score_key(prefix, columns))
-    looked_up = score_lookup(keyed, store, as_of)
+    looked_up = written(score_lookup(keyed, store, as_of), "looked-up")
     misses = looked_up.filter(~F.col("cached")).select("key", *columns).dropDuplicates(["key"])
-    fresh = score(misses).select("key", F.to_json(F.struct(*outputs), {"ignoreNullFields": "false"}).alias("value"))
-    schema = ", ".join(f"{c} double" for c in outputs)
-    hits = looked_up.filter("cached")
-    missed = looked_up.filter(~F.col("cached")).drop("value").join(fresh, "key")
-    answers = hits.unionByName(missed).withColumn("_v", F.from_json("value", schema))
+    scored = score(misses).select("key", *outputs)
+    kinds = StructType([f for f in scored.schema if f.name in outputs])
+    fresh = scored.select("key", F.to_json(F.struct(*outputs), {"ignoreNullFields": "false"}).alias("value"))
+    fresh = written(fresh, "fresh-scores")
+    answers = looked_up.join(fresh.withColumnRenamed("value", "_fresh"), "key", "left")
+    answers = answers.withColumn("_v", F.from_json(F.coalesce("value", "_fresh"), kinds))
     answers = answers.select(*requests.columns, *[F.col("_v")[c].alias(c) for c in outputs], "cached")
     return answers, score_put(store, store_entries(fresh, as_of, ttl_seconds))

@@ -135,6 +135,27 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, out)
 
 
+PARTED = "CASE WHEN c_nationkey % 5 = 0 THEN NULL ELSE concat('0', CAST(c_nationkey % 5 AS VARCHAR)) END"
+
+
+@query(
+    "upsert_partitions",
+    f"""WITH target AS (SELECT {PARTED} AS part, c_custkey AS id, c_acctbal AS balance FROM customer),
+        source AS (SELECT part, id, CAST(0 AS DOUBLE) AS balance FROM target WHERE id % 7 = 0 AND (part IS NULL OR part = '01'))
+        SELECT part, id, balance FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.part = t.part AND s.id = t.id)
+        UNION ALL SELECT part, id, balance FROM source""",
+)
+def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two partitions touched, one of them null; a null key matches nothing, so its rows are added."""
+    path = scratch_path(spark, "upsert_partitions")
+    part = F.when(F.col("c_nationkey") % 5 != 0, F.concat(F.lit("0"), (F.col("c_nationkey") % 5).cast("string")))
+    rows = table(spark, sf_dir, "customer").select(part.alias("part"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
+    tables.overwrite(rows, path, ["part"])
+    source = rows.where("id % 7 = 0 AND (part IS NULL OR part = '01')").withColumn("balance", F.lit(0.0))
+    tables.upsert_partitions(spark, path, source, ["part", "id"], ["part"], schema=rows.schema)
+    return tables.read(spark, path, schema=rows.schema).select("part", "id", "balance")
+
+
 @query(
     "write_partitioned",
     f"""WITH {sql.CE} SELECT event_id, customer_id, product_id, quantity, revenue, region,

@@ -113,11 +113,11 @@ DRIFT_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "price_per_unit
 
 
 def _samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Returned items against the rest, with a feature that shifts by half."""
+    """Returned items against the rest, with a feature that doubles."""
     line = table(spark, sf_dir, "lineitem")
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     returned = F.col("l_returnflag") == "R"
-    line = line.withColumn("price_per_unit", F.when(returned, unit).otherwise(unit * 1.5))
+    line = line.withColumn("price_per_unit", F.when(returned, unit).otherwise(unit * 2.0))
     return line.filter(returned).select(*DRIFT_FEATURES), line.filter(~returned).select(*DRIFT_FEATURES)
 
 
@@ -134,7 +134,7 @@ def _psi_sql() -> str:
     return f"""WITH line AS (
         SELECT l_returnflag = 'R' AS returned, l_quantity, l_extendedprice, l_discount,
                CASE WHEN l_returnflag = 'R' THEN l_extendedprice / l_quantity
-                    ELSE (l_extendedprice / l_quantity) * CAST(1.5 AS DOUBLE) END AS price_per_unit FROM lineitem)
+                    ELSE (l_extendedprice / l_quantity) * CAST(2.0 AS DOUBLE) END AS price_per_unit FROM lineitem)
       {' UNION ALL '.join(parts)}"""
 
 

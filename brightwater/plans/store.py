@@ -151,3 +151,26 @@ def score_write_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "store")
     after.write.parquet(path)
     return spark.read.parquet(path).select("key", (F.col("written_at") == F.lit(NOW).cast("timestamp")).alias("fresh"))
+
+
+def _length_labels(payloads: DataFrame) -> DataFrame:
+    """Stands in for a document classifier."""
+    return payloads.withColumns({"label": F.when(F.char_length("text") > 1000, "long").otherwise("short"), "confidence": F.lit(0.5)})
+
+
+@query(
+    "document_labels_with_store",
+    """WITH hit AS (SELECT DISTINCT text FROM documents WHERE doc_id % 3 = 0)
+       SELECT doc_id, CASE WHEN hit.text IS NOT NULL THEN 'legal' WHEN length(d.text) > 1000 THEN 'long' ELSE 'short' END AS label,
+              CASE WHEN hit.text IS NOT NULL THEN CAST(0.25 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS confidence,
+              hit.text IS NOT NULL AS cached
+       FROM documents d LEFT JOIN hit ON d.text = hit.text""",
+)
+def document_labels_with_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored results with text labels: a third of the documents was labelled before."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    earlier = docs.where("doc_id % 3 = 0").select(score_key("document", ["text"]).alias("key")).distinct()
+    earlier = earlier.withColumn("value", F.to_json(F.struct(F.lit("legal").alias("label"), F.lit(0.25).alias("confidence"))))
+    known = store.store_entries(earlier, NOW)
+    answers, _ = store.score_with_store(docs, known, ["text"], _length_labels, ["label", "confidence"], prefix="document", as_of=NOW)
+    return answers.select("doc_id", "label", "confidence", "cached")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brightwater.functions import extraction, text as tx
 from brightwater.operators import classify, documents
+from brightwater.operators.models import holdout_split
 from brightwater.plans import sql
 from brightwater.plans.registry import joined, query, rounded
 from brightwater.sources.adapters import contract_texts, table
@@ -53,9 +54,11 @@ def pages_and_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionByName(docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("doc_id"), "text"))
 
 
-@query("normalize_nfkd")
+@query("normalize_nfkd", "SELECT doc_id, strip_accents(text) AS text FROM documents")
 def normalize_nfkd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", tx.normalize_nfkd(F.col("text")).alias("text"))
+    """Normal form KD with its combining marks taken off, which SQL can say too."""
+    plain = F.regexp_replace(tx.normalize_nfkd(F.col("text")), r"\p{M}", "")
+    return table(spark, sf_dir, "documents").select("doc_id", plain.alias("text"))
 
 
 @query("strip_html", "SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS text FROM pages")
@@ -143,32 +146,60 @@ def truncate_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", tx.truncate_words(F.col("text")).alias("text"))
 
 
-def _language_model(spark: SparkSession, sf_dir: str):
-    return classify.train_classifier(table(spark, sf_dir, "documents"), "lang", num_features=1 << 12, max_iter=8)
+HELD_OUT = "CAST(concat('0x', substr(md5(concat_ws('|', '42', CAST(doc_id AS VARCHAR))), 1, 8)) AS BIGINT) % 10000 < 2000"
+LABEL_CHECKS = "TRUE AS known_label, TRUE AS in_unit, TRUE AS review_fits"
 
 
-@query("classify_documents")
+def _split(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    marked = holdout_split(docs, ["doc_id"])
+    return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
+
+
+def _label_checks(labels: list[str]) -> list:
+    """A label that was taught, a probability, and a review flag on its side of the threshold."""
+    sure, limit = F.col("confidence"), classify.CONFIDENCE_THRESHOLD
+    return [
+        F.col("label").isin(labels).alias("known_label"),
+        sure.between(0, 1).alias("in_unit"),
+        F.when(F.col("requires_review"), sure <= limit).otherwise(sure >= limit).alias("review_fits"),
+    ]
+
+
+def _by_language(spark: SparkSession, sf_dir: str):
+    """A classifier taught on the training side, with its labels, and the held-out documents."""
+    train, test = _split(table(spark, sf_dir, "documents"))
+    model = classify.train_classifier(train, "lang")
+    return model, classify.model_labels(model), test
+
+
+@query("classify_documents", f"SELECT doc_id, {LABEL_CHECKS} FROM documents WHERE {HELD_OUT}")
 def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents by language, with the map of all scores opened into rows."""
-    docs = table(spark, sf_dir, "documents")
-    out = classify.classify_documents(docs, _language_model(spark, sf_dir))
-    return out.select("doc_id", "text_snippet", "label", "confidence", "requires_review")
+    """Held-out documents by language."""
+    model, labels, test = _by_language(spark, sf_dir)
+    out = classify.classify_documents(test, model)
+    return out.select("doc_id", *_label_checks(labels))
 
 
-@query("classify_quality")
+@query("classify_quality", f"SELECT doc_id, {LABEL_CHECKS} FROM documents WHERE {HELD_OUT}")
 def classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trained on the documents with a quality label, applied to all of them."""
-    docs = table(spark, sf_dir, "documents")
-    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
-    model = classify.train_classifier(labelled, "quality", num_features=1 << 12, max_iter=8)
-    out = classify.classify_documents(docs, model)
-    return out.select("doc_id", "label", "confidence", "requires_review")
+    """Trained on the training side's documents with a quality label, applied to the held-out ones."""
+    train, test = _split(table(spark, sf_dir, "documents"))
+    model = classify.train_classifier(train.join(table(spark, sf_dir, "labels"), "doc_id"), "quality")
+    return classify.classify_documents(test, model).select("doc_id", *_label_checks(classify.model_labels(model)))
 
 
-@query("score_map")
+@query(
+    "score_map",
+    f"""SELECT doc_id, label, TRUE AS in_unit, TRUE AS sums_to_one
+        FROM documents, (SELECT DISTINCT lang AS label FROM documents WHERE NOT ({HELD_OUT})) WHERE {HELD_OUT}""",
+)
 def score_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = classify.classify_documents(table(spark, sf_dir, "documents"), _language_model(spark, sf_dir))
-    return out.select("doc_id", "text_snippet", F.explode("all_scores").alias("label", "score"))
+    """The map of all scores opened into rows."""
+    model, _, test = _by_language(spark, sf_dir)
+    out = classify.classify_documents(test, model)
+    total = F.aggregate(F.map_values("all_scores"), F.lit(0.0), lambda a, x: a + x)
+    opened = out.select("doc_id", (F.abs(total - 1) < 1e-3).alias("sums_to_one"), F.explode("all_scores").alias("label", "score"))
+    return opened.select("doc_id", "label", F.col("score").between(0, 1).alias("in_unit"), "sums_to_one")
 
 
 @query(
