@@ -68,9 +68,12 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {sql.FLAWED} SELECT DISTINCT event_id FROM flawed WHERE {sql.MANDATORY} AND {sql.PLAUSIBLE}""",
 )
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which copy arrives first is open, so only the surviving ids are returned."""
+    """Which copy arrives first is open, so only the surviving ids are returned.
+
+    The table is one file, so all copies come in one micro-batch and meet whatever the delay.
+    """
     path = scratch_path(spark, "stream_deduped")
-    clean = ingest.clean_stream(flawed_stream(spark, sf_dir), dedup_delay="5000 days")
+    clean = ingest.clean_stream(flawed_stream(spark, sf_dir), dedup_delay="30 days")
     ingest.stream_sink(clean, path, scratch_path(spark, "checkpoint"), partition_by=None).awaitTermination()
     return spark.read.parquet(path).select("event_id")
 
@@ -90,7 +93,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables read back together; valid rows have no reasons."""
     good, dead = scratch_path(spark, "stream_valid"), scratch_path(spark, "stream_dead")
-    query_run = ingest.stream_with_dead_letters(flawed_stream(spark, sf_dir), good, dead, scratch_path(spark, "checkpoint"))
+    query_run = ingest.stream_with_dead_letters(
+        flawed_stream(spark, sf_dir), good, dead, scratch_path(spark, "checkpoint"), partition_by=["region"]
+    )
     query_run.awaitTermination()
     valid = event_output(spark.read.parquet(good)).withColumn("reasons", F.lit(""))
     rejected = spark.read.parquet(dead)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from brightwater.operators.quality import add_partition_date, filter_quality, reject_reasons
+from brightwater.operators.tables import overwrite
 from brightwater.schema import EVENT_SCHEMA, PARTITION_COLUMNS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -66,9 +67,14 @@ def stream_ingest(
 
 
 def stream_with_dead_letters(
-    events: DataFrame, path: str, dead_path: str, checkpoint: str, fmt: str = "parquet"
+    events: DataFrame,
+    path: str,
+    dead_path: str,
+    checkpoint: str,
+    fmt: str = "parquet",
+    partition_by: list[str] | None = PARTITION_COLUMNS,
 ) -> StreamingQuery:
-    """Valid rows to one table and rejected rows with reasons to another.
+    """Valid rows to one table and rejected rows with reasons to another, both in the main sink's layout.
 
     Each micro-batch overwrites the folder of its own batch number, so a batch
     replayed after a failure replaces itself and nothing is written twice.
@@ -80,7 +86,7 @@ def stream_with_dead_letters(
             valid = add_partition_date(tagged.filter(F.size("reasons") == 0).drop("reasons"), mode="fill")
             rejected = tagged.filter(F.size("reasons") > 0)
             for rows, target in ((valid, path), (rejected, dead_path)):
-                rows.write.format(fmt).mode("overwrite").save(f"{target.rstrip('/')}/batch={number}")
+                overwrite(rows, f"{target.rstrip('/')}/batch={number}", partition_by, fmt)
         finally:
             tagged.unpersist()
 
