@@ -21,7 +21,7 @@ SPACE = re.compile(r"\s+")
 
 # Elements of HTML by their part in a page (fixed values).
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe svg math canvas object select option datalist xmp noembed noframes".split())
+RAW = set("script style noscript template textarea title iframe svg canvas object select option datalist xmp noembed noframes".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -84,7 +86,7 @@ def _stream(sizes: DataFrame, buckets: int) -> DataFrame:
     return joined.select("id", "source", "size", (F.col("offset") + F.col("local")).alias("start"))
 
 
-def _slots(sources: DataFrame, total: int) -> DataFrame:
+def _slots(sources: DataFrame, total: int, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``position, source_no, slot``: which source each block of the mix comes from, and its rank among that source's.
 
     Point i is the fraction of i times the golden ratio; its place among the
@@ -101,7 +103,7 @@ def _slots(sources: DataFrame, total: int) -> DataFrame:
     edges = sources.select("source_no", "lo", "hi").where("hi > lo")
     # A cell of the unit interval names the few sources that it touches.
     edges = edges.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * CELLS), F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1)))))
-    drawn = points.withColumn("cell", F.floor(F.col("u") * CELLS)).join(F.broadcast(edges), "cell")
+    drawn = points.withColumn("cell", F.floor(F.col("u") * CELLS)).join(small(edges), "cell")
     drawn = drawn.where("u >= lo AND u < hi").select("position", "span", "source_no")
     counts = drawn.groupBy("source_no", "span").agg(F.count("*").alias("n"))
     offsets = written(_offsets(counts, "source_no", "span", "n"), "slot-offsets")
@@ -123,7 +125,7 @@ def mix(
     share: float = SHARE,
     epochs: int = EPOCHS,
     block_words: int = BLOCK_WORDS,
-    max_sources: int = 10_000,
+    broadcast_sources: int = 10_000,
 ) -> tuple[DataFrame, DataFrame]:
     """The mix's schedule and what it takes of each document.
 
@@ -139,8 +141,8 @@ def mix(
 
     Documents are told apart by id and source; rows that repeat both are one document with the sum
     of their words (null ids too). A null text has no words. A source without words has
-    target 0. Sources may not outnumber ``max_sources``: their table is broadcast, and
-    more raise an error. An empty table gives no rows. Only the three columns are read.
+    target 0. Up to ``broadcast_sources`` sources their table is broadcast; beyond, the same
+    joins shuffle. An empty table gives no rows. Only the three columns are read.
     """
     rows = documents.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     sizes = written(rows.groupBy("id", "source").agg(F.sum("size").alias("size")), "sizes")
@@ -156,11 +158,10 @@ def mix(
     planned = planned.withColumns({"lo": (F.col("hi") - F.col("slots")) / total, "hi": F.when(F.col("hi") == total, 1.0).otherwise(F.col("hi") / total)})
     sources = written(planned, "sources")
     facts = sources.agg(F.count("*").alias("n"), F.sum("slots").alias("slots")).first()
-    if facts["n"] > max_sources:
-        raise ValueError(f"{facts['n']} sources, more than max_sources ({max_sources})")
+    small = F.broadcast if facts["n"] <= broadcast_sources else lambda frame: frame
     buckets = max(1, sizes.count() // DOCS_PER_BUCKET)
     s = sources.select(F.col("source").alias("s_source"), "source_no", "source_size", "target", "goal", F.col("blocks").alias("n_blocks"))
-    placed = _stream(sizes, buckets).join(F.broadcast(s), F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
+    placed = _stream(sizes, buckets).join(small(s), F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
     placed = written(placed, "placed")
     spans = placed.where("size > 0").withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)))
@@ -169,7 +170,7 @@ def mix(
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
     pieces = spans.select("id", "source", "source_no", "start", "block", "goal", "source_size", low.alias("low"), high.alias("high"))
     sized = sources.select("source_no", F.col("blocks").alias("in_source"), "slots")
-    slots = _slots(sources, int(facts["slots"] or 0)).join(F.broadcast(sized), "source_no").where("slot < slots")
+    slots = _slots(sources, int(facts["slots"] or 0), small).join(small(sized), "source_no").where("slot < slots")
     slots = slots.select("position", "source_no", F.floor(F.col("slot") / F.col("in_source")).alias("epoch"), (F.col("slot") % F.col("in_source")).alias("block"))
     met = pieces.join(slots, ["source_no", "block"])
     words = F.least(F.col("high"), F.col("goal") - F.col("epoch") * F.col("source_size")) - F.col("low")
