@@ -20,8 +20,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 # White space as the vocabulary's own library understands \s (fixed values).
 WHITE_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CACHED_PIECES, CACHED_CHARS, MANY = 500_000, 64, 20_000
-BATCH_BYTES = 4 << 20
+CACHED_PIECES, CACHED_CHARS, MANY = 200_000, 64, 10_000
+BATCH_BYTES = 2 << 20
 _NONE = 1 << 62
 _POSITION = (1 << 40) - 1
 
