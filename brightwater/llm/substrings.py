@@ -17,6 +17,7 @@ from brightwater.session import written
 GRAM = 8
 SHARD_WORDS = 1_000_000
 HOT_CLASSES = 256
+FEW = 128
 LEAST_ID = -(1 << 63)
 _SHIFT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -72,6 +73,13 @@ def _rows_of_words(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, n
         yield a, T.hash_spans(part, starts, ends), first
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few documents, as each has many requests or words."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, FEW):
+            yield batch.slice(first, FEW)
+
+
 SEGMENT = "anchor long, content long, id long, start long, n long"
 
 
@@ -135,7 +143,7 @@ def _document_table(documents: DataFrame) -> DataFrame:
     """``id, real_id, n_words, all_sha256, packed, requests``: documents touched by a request keep their text, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             touched = batch.column(3).to_pylist()
             texts = batch.column(2).to_pylist()
             n_words, digests, packed = [], [], []
@@ -174,7 +182,7 @@ def _word_table(documents: DataFrame, window: int) -> DataFrame:
     """``route, hot, id, start, n, content, words``: the words of each requested segment; a hot anchor's windows singly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             rows = []
             for one in batch.to_pylist():
                 raw = _unpacked(one["packed"], one["size"])
@@ -243,7 +251,7 @@ def _without(documents: DataFrame, window: int) -> DataFrame:
     """``real_id, n_words, n_removed, kept_words`` and digest of documents with their ``cuts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             ids, n_words, digests, packed, sizes, cuts = (batch.column(i) for i in range(6))
             removed, kept = [], digests.to_pylist()
             for i, (asked, blob, size) in enumerate(zip(cuts.to_pylist(), packed.to_pylist(), sizes.to_pylist(), strict=True)):
