@@ -68,10 +68,16 @@ class FMIndex:
             place = np.where((symbol >> (top - i)) & 1 == 1, level.zeros + taken, place - taken)
         return self.first[symbol] + place - self.starts[symbol]
 
-    def search(self, text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """The suffix intervals of the patterns ``text[s:s+length]``, by backward search; empty ones for no match."""
+    def search(self, text: np.ndarray, starts: np.ndarray, length: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """The suffix intervals of the patterns ``text[s:s+length]``, by backward search.
+
+        A pattern is given up as soon as fewer than ``least`` suffixes begin with
+        what has been read of it; its interval is then the one reached.
+        """
         low, high = np.zeros(len(starts), dtype=np.int64), np.full(len(starts), self.size, dtype=np.int64)
+        active = np.arange(len(starts))
         for k in range(length - 1, -1, -1):
-            symbol = text[starts + k]
-            low, high = self.step(symbol, low), self.step(symbol, high)
+            symbol = text[starts[active] + k]
+            low[active], high[active] = self.step(symbol, low[active]), self.step(symbol, high[active])
+            active = active[high[active] - low[active] >= least]
         return low, high

@@ -230,7 +230,7 @@ def _searched(words: DataFrame, window: int) -> DataFrame:
         index = FMIndex(text, window + 1)
         segment = np.repeat(np.arange(len(n)), n)
         offset = np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
-        low, high = index.search(text, heads[segment] + offset, window)
+        low, high = index.search(text, heads[segment] + offset, window, least=2)
         many = np.flatnonzero(high - low > 1)
         order = many[np.lexsort((starts[segment[many]] + offset[many], ids[segment[many]], low[many]))]
         where = np.column_stack([low[order], ids[segment[order]], starts[segment[order]] + offset[order]])
