@@ -342,13 +342,11 @@ def quality(
 def quality_filter(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """The documents whose score is 0.5 or more, with their own columns.
 
-    The model is that of ``quality``; only labelled documents are read to fit
-    it. Every row is scored by its own text, without a join, so repeated and
+    The model is that of ``quality``; labels meet the statistics, so no text
+    is shuffled. Every row is scored by its own text, without a join, so repeated and
     null ids keep what their texts deserve.
     """
-    train = _training(labels, id_col, label_col)
-    ids = written(train.select(F.col("id").alias(id_col)).distinct(), "labelled")
-    model = fit_quality(statistics_table(documents.join(ids, id_col, "left_semi"), id_col, text_col), train)
+    model = fit_quality(statistics_table(documents, id_col, text_col), _training(labels, id_col, label_col))
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

@@ -23,10 +23,15 @@ from brightwater.session import written  # noqa: E402
 ORACLE_SQL = None
 
 
-def _kept(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents whose id the operator marks as kept; null ids included."""
-    ids = found.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(written(ids, "kept"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+def _kept(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents whose id the operator marks as kept: those with an id, dealt by it, and those without.
+
+    The ids grow with the corpus, so they are merged at every size and never broadcast.
+    """
+    ids = written(found.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept")
+    named = docs.where("doc_id IS NOT NULL").hint("merge").join(ids, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    nameless = docs.where("doc_id IS NULL").hint("merge").join(ids, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    return named, nameless
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,15 +41,19 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for the case of A-Z, the one with the largest id; of rows that repeat an id and a text, one."""
-    kept = _kept(docs, exact.exact_dedup(docs).select("doc_id", "kept"))
     repeats = Window.partitionBy("doc_id", "_text").orderBy("_text")
-    kept = kept.withColumn("_text", F.xxhash64(F.lower(F.coalesce("text", F.lit("")))))
-    return kept.withColumn("_repeat", F.row_number().over(repeats)).where("_repeat = 1").select(*docs.columns)
+    text = F.xxhash64(F.lower(F.coalesce("text", F.lit(""))))
+    once = [
+        part.withColumn("_text", text).withColumn("_repeat", F.row_number().over(repeats)).where("_repeat = 1").select(*docs.columns)
+        for part in _kept(docs, exact.exact_dedup(docs).select("doc_id", "kept"))
+    ]
+    return once[0].unionByName(once[1])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of texts that share 80 % of their five-word shingles: the smallest id."""
-    return _kept(docs, minhash.near_components(docs).select("doc_id", "kept"))
+    named, nameless = _kept(docs, minhash.near_components(docs).select("doc_id", "kept"))
+    return named.unionByName(nameless)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
