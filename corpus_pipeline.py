@@ -52,7 +52,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of texts that share 80 % of their five-word shingles: the smallest id."""
-    named, nameless = _kept(docs, minhash.near_components(docs).select("doc_id", "kept"))
+    named, nameless = _kept(docs, minhash.near_components(docs, coordinates=96).select("doc_id", "kept"))
     return named.unionByName(nameless)
 
 
