@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from brightwater.operators.quality import add_partition_date, filter_quality, reject_reasons
 from brightwater.operators.tables import overwrite
@@ -29,6 +29,7 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 def dedup_first(events: DataFrame, delay: str = "1 day", key: str = "event_id", ts: str = "timestamp") -> DataFrame:
     """Keep the first arrival of a key within the watermark delay.
 
+    Rows later than the delay are dropped, copies or not; :func:`stream_distinct` keeps them.
     Latest-wins needs later rows to replace earlier ones; apply
     :func:`brightwater.operators.quality.dedup_latest` when the sink is read.
     """
@@ -43,6 +44,33 @@ def clean_stream(events: DataFrame, dedup_delay: str | None = None) -> DataFrame
     return add_partition_date(kept, mode="fill")
 
 
+def stream_distinct(clean: DataFrame, path: str, checkpoint: str, key: str = "event_id", fmt: str = "parquet") -> StreamingQuery:
+    """Append the first arrival of each key, however late a row comes, then stop.
+
+    The sink is the state, so no watermark drops a row and no memory grows with
+    the keys: a micro-batch is merged by key (a combined aggregate, so a hot key is spread) and joined
+    against the keys of earlier batches. It writes the folder of its own batch number, so a
+    batch replayed after a failure replaces itself. Each batch reads the sink's key column.
+    A null key is a key like any other.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        new = batch.dropDuplicates([key])
+        if number > 0:
+            spark = batch.sparkSession
+            schema = StructType([batch.schema[key], StructField("batch", LongType())])
+            seen = spark.read.format(fmt).schema(schema).load(path).where(F.col("batch") < number).select(F.col(key).alias("_seen"))
+            new = new.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+        overwrite(new, f"{path.rstrip('/')}/batch={number}", None, fmt)
+
+    return (
+        clean.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def stream_sink(
     clean: DataFrame,
     path: str,

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
+from compare import duck
 from test_quality import T1, T2, event, frame
 
+from brightwater import plans
 from brightwater.operators.quality import add_partition_date, filter_quality
 from brightwater.streaming import ingest
 
@@ -65,3 +68,32 @@ def test_rejected_rows_go_to_their_own_table_once(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(good).collect()) == ["a", "a", "c"]
     reasons = sorted(tuple(r.reasons) for r in spark.read.parquet(dead).collect())
     assert reasons == [("event_id_missing",), ("revenue_negative",), ("timestamp_missing",)]
+
+
+def test_distinct_ids_of_many_files_in_no_time_order(spark, sf_dir, tmp_path, monkeypatch):
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    for k in (0, 1, 2, 0):
+        line.where(f"l_orderkey % 3 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(ingest, "stream_parquet", partial(ingest.stream_parquet, max_files_per_trigger=1))
+    got = sorted(r.event_id for r in plans.all_queries()["stream_dedup"](spark, str(tmp_path)).collect())
+    assert got == sorted(r[0] for r in duck(sf_dir).execute(plans.all_oracles()["stream_dedup"]).fetchall())
+
+
+def test_distinct_resumes_and_replays_a_batch(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+
+    def run():
+        stream = ingest.stream_parquet(spark, source, max_files_per_trigger=1)
+        ingest.stream_distinct(stream, sink, checkpoint).awaitTermination()
+        return sorted(((r.event_id or ""), r.product_id) for r in spark.read.parquet(sink).collect())
+
+    land(spark, source, [event("a", ts=T2, product="first"), event("b"), event("b"), event(None)])
+    run()
+    land(spark, source, [event("a", product="second"), event("c", ts=T1 - dt.timedelta(days=900)), event(None)])
+    want = [("", "p1"), ("a", "first"), ("b", "p1"), ("c", "p1")]
+    assert run() == want
+    (tmp_path / "checkpoint" / "commits" / "1").unlink()
+    (tmp_path / "checkpoint" / "commits" / ".1.crc").unlink(missing_ok=True)
+    assert run() == want
+    land(spark, source, [event("b", product="third")])
+    assert run() == want
