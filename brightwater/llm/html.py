@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S
 )
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 SPACE = re.compile(r"\s+")
@@ -26,7 +26,10 @@ BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-CUT_TAGS = set("nav aside footer form button dialog menu search fieldset head".split())
+CUT_TAGS = set("nav aside footer button dialog menu search head".split())
+# Cut unless the page's main blocks stand in them.
+FORM_TAGS = ("form", "fieldset")
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -36,7 +39,7 @@ CLOSES = {
     "th": {"td", "th"},
     "option": {"option"},
 }
-# Words in class, id and role that name parts beside the article (fixed values).
+# Words in class, id and role that name parts beside the article, if all words of the value do or say nothing (fixed values).
 COMMENT_WORDS = set("comment comments commentlist disqus reply replies respond discussion".split())
 CUT_WORDS = COMMENT_WORDS | set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup"
@@ -44,12 +47,38 @@ CUT_WORDS = COMMENT_WORDS | set(
     " social related recommended recommendations footer pagination pager login search toolbar skip complementary contentinfo".split()
 )
 HEADER_WORDS = set("header masthead topbar banner".split())
+PLACE_WORDS = set(
+    "area bar block body bottom box btn button buttons center column container count cta desktop div element floating footer form global google gpt group"
+    " holder icon icons info inline inner item items js law left link links list main mobile module nav outer page panel primary region right root row"
+    " secondary section site slot small sticky sub thread top unit wide wp wrap wrapper".split()
+)
+SAY_NOTHING = PLACE_WORDS | set("article articles content entry header post posts stories story text title".split())
+# Also what articles are about: as the id of a section, an anchor named after its heading.
+TOPICS = set("discussion respond social notice notices menu alert search related promotion share sharing".split())
 # Containers say nothing of what they hold (fixed values); the other elements are features with weights.
 NEUTRAL = set("html body article main div section table tbody thead tfoot tr td th dl hgroup".split())
 FEATURES = (BLOCK | {"a", "b", "strong", "em", "i", "marked", "unmarked"}) - NEUTRAL
 TAG_COST = 0.2
 
 
+def _named(attributes: str, tag: str) -> tuple[bool, bool, bool]:
+    """Whether a whole class, id or role names a part beside the article, comments, a page header; a heading's names nothing."""
+    cut = comment = header = False
+    if tag in HEADINGS:
+        return cut, comment, header
+    for m in NAMES.finditer(attributes):
+        for value in (m[2] or m[3] or m[4] or "").split():
+            words = {w.lower() for w in NAME_WORD.findall(value)}
+            if tag == "section" and m[1].lower() == "id" and words <= TOPICS:
+                continue
+            words = {w for w in words if len(w) > 2 or w in CUT_WORDS}
+            part = words <= CUT_WORDS | SAY_NOTHING
+            cut |= part and bool(words & CUT_WORDS)
+            comment |= part and bool(words & COMMENT_WORDS)
+            header |= words <= HEADER_WORDS | PLACE_WORDS and bool(words & HEADER_WORDS)
+    return cut, comment, header
+
+
 class Block:
     """A stretch of text between block borders: its words, what it stands in, and the tags before it."""
 
@@ -125,21 +154,34 @@ def blocks(html: str) -> list[Block]:
         if tag in CLOSES and stack and stack[-1][0] in CLOSES[tag]:
             close(stack[-1][0])
         _, cut, comment, main = stack[-1] if stack else ("", False, False, False)
-        names = {w.lower() for m in NAMES.finditer(attributes) for w in NAME_WORD.findall(m[1] or m[2] or m[3] or "")} if attributes else set()
-        comment = comment or bool(names & COMMENT_WORDS)
+        named, remarks, header = _named(attributes, tag) if attributes else (False, False, False)
+        comment = comment or remarks
         if tag in ("article", "main") and not comment:
             cut = cut and any(x[0] in CUT_TAGS for x in stack)
             main = True
         elif tag not in ("html", "body"):
-            cut = cut or tag in CUT_TAGS or bool(names & CUT_WORDS) or bool(attributes and HIDDEN.search(attributes))
-            cut = cut or (not main and (tag == "header" or bool(names & HEADER_WORDS)))
+            cut = cut or tag in CUT_TAGS or named or bool(attributes and HIDDEN.search(attributes))
+            cut = cut or (not main and (tag == "header" or header))
         cut = cut or comment
         links += tag == "a"
         stack.append((tag, cut, comment, main))
     flush()
+    _judge_forms(out)
     return out
 
 
+def _judge_forms(found: list[Block]) -> None:
+    """Forms are cut, and so are fieldsets, unless most words of the main blocks stand in them: then they are containers."""
+    marked = any(b.main and not b.cut for b in found)
+    body = [b for b in found if not b.cut and (b.main or not marked)]
+    for tag in FORM_TAGS:
+        if 2 * sum(b.words for b in body if tag in b.features) > sum(b.words for b in body):
+            for b in found:
+                b.features -= {tag}
+    for b in found:
+        b.cut = b.cut or not b.features.isdisjoint(FORM_TAGS)
+
+
 def _last(stack: list, tag: str) -> int:
     return max(i for i, x in enumerate(stack) if x[0] == tag)
 
@@ -165,11 +207,14 @@ def main_text(html: str | None, weights: dict[str, float]) -> str:
     """The text of the page's best region, its blocks joined by newlines; without the parts that are cut."""
     found = blocks(html) if html else []
     marked = any(b.main for b in found)
+    inside = [i for i, b in enumerate(found) if b.main and not b.cut]
     scores = []
-    for b in found:
+    for i, b in enumerate(found):
         value = 0.5 + sum(weights.get(f, 0.0) for f in _features(b, marked))
         if b.cut:
-            scores.append(-0.2 * b.words)
+            # Left out anyway: nothing between the article's parts, and no more than its tags where no mark tells.
+            among = inside and inside[0] < i < inside[-1]
+            scores.append(0.0 if among else -0.2 * b.words if marked else -min(0.2 * b.words, TAG_COST * b.tags))
         elif b.main:
             scores.append(max(0.5, min(1.0, value)) * b.words)
         else:
@@ -216,8 +261,8 @@ def extract(pages: DataFrame, weights: dict[str, float] | None = None, html_col:
 
     Words in a marked article always count for it. A linear scan over the page's blocks adds a word's weight (from what it stands in, see ``learn_weights``)
     and takes off a cost for each tag; the contiguous run of greatest sum is
-    the article. Parts named as menus, adverts, notices, forms, comments and the
-    like are left out of it. Character references are decoded, white space within a
+    the article. Parts whose whole class, id or role names a menu, advert, notice, comments or the
+    like are left out of it, and so are forms, except those that hold the page. Character references are decoded, white space within a
     block becomes one space, blocks are joined by a newline. A null or empty
     page, and one without text, gives an empty text. Weights are learned from the pages
     themselves where none are given. A column ``text_col`` is replaced; repeated rows are extracted each.

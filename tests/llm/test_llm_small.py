@@ -214,6 +214,28 @@ def test_main_text_of_pages(spark):
     assert html.main_text("<p>" + "word " * 200_000, {}).count("word") == 200_000
 
 
+LONG = "word " * 59 + "word"
+WHOLE = [
+    (f"<article><h1>A headline of five words</h1><div class='{{}}'>{LONG}</div><p>{LONG}</p></article>", f"A headline of five words\n{LONG}", ["notice", "newsletter-box", "share-bar", "ad", "google_ad_1"]),
+    (f"<article><p>{LONG}</p><aside>{LONG * 3}</aside><p>The {{}} end.</p></article>", f"{LONG}\nThe {{}} end.", ["short"]),
+    (f"<article><p>{LONG}</p></article><div class=ad>{LONG * 9}</div><article><p>{{}} part.</p></article>", f"{LONG}\n{{}} part.", ["Second"]),
+    (f"<h1>A headline of five words</h1><div class={{}}><p>{LONG}</p></div><p>{LONG}</p>", f"A headline of five words\n{LONG}", ["notice"]),
+    (f"<body><form id={{}}><nav>x</nav><article><p>{LONG}</p></article></form></body>", LONG, ["aspnetForm"]),
+    (f"<body><form><fieldset><div class={{}}><p>{LONG}</p></div></fieldset></form></body>", LONG, ["content"]),
+    (f"<article><p>{LONG}</p><form class={{}}>Your name</form></article>", LONG, ["f"]),
+    (f"<div><h2 id={{}}>Head of several words</h2><p>{LONG}</p></div>", f"Head of several words\n{LONG}", ["discussion", "social", "notice", "menu", "search"]),
+    (f"<article><div class={{}}>{LONG}</div></article>", LONG, ["social-history", "alert-mechanisms", "menu_planning", "cookieRecipes", "has-sidebar", "search-algorithms"]),
+    (f"<section id={{}}><h2>Head of several words</h2><p>{LONG}</p></section>", f"Head of several words\n{LONG}", ["discussion", "social"]),
+    (f"<p>{LONG}</p><section class={{}}><article>me too</article></section>", LONG, ["comments", "post-comments", "discussion"]),
+]
+
+
+def test_articles_are_whole_around_cut_parts_forms_and_names():
+    for page, want, names in WHOLE:
+        for name in names:
+            assert html.main_text(page.format(name), {"form": -2.0}) == want.format(name), page.format(name)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.floats(-3, 3), max_size=12))
 def test_best_run_is_the_maximum(scores):
