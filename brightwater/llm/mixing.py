@@ -130,7 +130,7 @@ def mix(
     """The mix's schedule and what it takes of each document.
 
     ``plan`` has one row for each piece of a document in a block of the mix: ``position`` (the
-    block's place), ``id, source, epoch, first_word, words``. ``taken`` has one row per
+    block's place), ``id, source, size, epoch, first_word, words``. ``taken`` has one row per
     document: ``id, source, size, source_size, target, taken``.
 
     Each source is a stream of its documents, shuffled by a hash of their
@@ -168,14 +168,14 @@ def mix(
     )
     low = F.greatest(F.col("start"), F.col("block") * block_words)
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
-    pieces = spans.select("id", "source", "source_no", "start", "block", "goal", "source_size", low.alias("low"), high.alias("high"))
+    pieces = spans.select("id", "source", "source_no", "size", "start", "block", "goal", "source_size", low.alias("low"), high.alias("high"))
     sized = sources.select("source_no", F.col("blocks").alias("in_source"), "slots")
     slots = _slots(sources, int(facts["slots"] or 0), small).join(small(sized), "source_no").where("slot < slots")
     slots = slots.select("position", "source_no", F.floor(F.col("slot") / F.col("in_source")).alias("epoch"), (F.col("slot") % F.col("in_source")).alias("block"))
     met = pieces.join(slots, ["source_no", "block"])
     words = F.least(F.col("high"), F.col("goal") - F.col("epoch") * F.col("source_size")) - F.col("low")
     plan = met.withColumn("words", words).where("words > 0")
-    plan = plan.select("position", "id", "source", "epoch", (F.col("low") - F.col("start")).alias("first_word"), "words")
+    plan = plan.select("position", "id", "source", "size", "epoch", (F.col("low") - F.col("start")).alias("first_word"), "words")
     took = plan.groupBy(F.col("id").alias("t_id"), F.col("source").alias("t_source")).agg(F.sum("words").alias("taken"))
     same = F.col("id").eqNullSafe(F.col("t_id")) & F.col("source").eqNullSafe(F.col("t_source"))
     taken = placed.join(took, same, "left").select(
@@ -184,24 +184,33 @@ def mix(
     return plan, taken
 
 
-def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The documents as the mix takes them, with their own columns.
+def mixed_documents(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", whole: bool = False, **options
+) -> DataFrame:
+    """The documents as the mix takes them, with their own columns, in the order of the schedule.
 
-    A document comes once for each epoch that takes all of it; where its
-    source's target ends inside it, a copy has its text up to the last word taken, and
-    ``n_chars``, if there is one, says its length. Documents not taken and
+    A document comes once for each epoch that takes all of it, at the position of its first block;
+    documents of one block follow its source's shuffled stream. Where its
+    source's target ends inside a document, a copy has its text up to the last word taken, and
+    ``n_chars``, if there is one, says its length. With ``whole`` that copy is all of its text where the
+    target takes half of it or more, and none where it takes less, so a source misses its target by half a
+    document at most. Documents not taken and
     those without words do not come. Of rows that repeat an id and a source one stands for all.
     """
-    _, taken = mix(documents, id_col, text_col, source_col, **options)
-    t = taken.where("taken > 0").select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "taken")
+    plan, _ = mix(documents, id_col, text_col, source_col, **options)
+    t = plan.groupBy(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "epoch").agg(
+        F.min("position").alias("_position"), F.sum("words").alias("_words")
+    )
+    if whole:
+        t = t.where("2 * _words >= _size").withColumn("_words", F.col("_size"))
     same = F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source"))
-    copies = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("taken") / F.col("_size")) - 1)
-    rows = documents.join(t, same).withColumn("_left", F.explode(F.transform(copies, lambda k: F.col("taken") - k * F.col("_size"))))
-    rows = rows.withColumn("_words", F.least("_size", "_left"))
-    ends = F.split(text_col, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1)
-    cut = F.array_join(F.slice(ends, F.lit(1), F.col("_words").cast("int")), "")
-    rows = rows.withColumn(text_col, F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col(text_col)))
-    if "n_chars" in documents.columns:
-        whole = F.col("_words") == F.col("_size")
-        rows = rows.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.char_length(text_col).cast(documents.schema["n_chars"].dataType)))
-    return rows.select(*documents.columns)
+    rows = documents.join(t, same)
+    if not whole:
+        ends = F.split(text_col, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1)
+        cut = F.array_join(F.slice(ends, F.lit(1), F.col("_words").cast("int")), "")
+        rows = rows.withColumn(text_col, F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col(text_col)))
+        if "n_chars" in documents.columns:
+            full = F.col("_words") == F.col("_size")
+            rows = rows.withColumn("n_chars", F.when(full, F.col("n_chars")).otherwise(F.char_length(text_col).cast(documents.schema["n_chars"].dataType)))
+    stream = F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")))
+    return rows.orderBy("_position", stream, "_id").select(*documents.columns)

@@ -7,6 +7,7 @@ written and read again as the next stage's documents.
 from __future__ import annotations
 
 import os
+import string
 import sys
 from collections.abc import Callable
 
@@ -42,7 +43,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for the case of A-Z, the one with the largest id; of rows that repeat an id and a text, one."""
     repeats = Window.partitionBy("doc_id", "_text").orderBy("_text")
-    text = F.xxhash64(F.lower(F.coalesce("text", F.lit(""))))
+    text = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
     once = [
         part.withColumn("_text", text).withColumn("_repeat", F.row_number().over(repeats)).where("_repeat = 1").select(*docs.columns)
         for part in _kept(docs, exact.exact_dedup(docs).select("doc_id", "kept"))
@@ -57,8 +58,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them; the last of a source cut where its target ends."""
-    return mixing.mixed_documents(docs)
+    """Whole documents as often as the mix of sources takes them, in the order of its schedule."""
+    return mixing.mixed_documents(docs, whole=True)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

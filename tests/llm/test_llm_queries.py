@@ -96,3 +96,9 @@ def test_pipeline_keeps_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "none" / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "none" / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_pipeline_tells_nameless_texts_apart_by_case_beyond_a_to_z(spark):
+    texts = [(None, "\u00c9TUDE a"), (None, "\u00e9tude a"), (None, "\u00c9tude A"), (4, "x")]
+    out = corpus_pipeline.without_copies(spark, spark.createDataFrame(texts, "doc_id long, text string"), "").collect()
+    assert sorted(r.text.replace("A", "a").replace("TUDE", "tude") for r in out) == ["x", "\u00c9tude a", "\u00e9tude a"]

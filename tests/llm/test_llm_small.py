@@ -152,6 +152,25 @@ def test_mixed_documents_are_whole_but_for_the_last(spark):
     assert mixing.mix(docs(spark, [None, ""]))[1].count() == 2
 
 
+def test_mixed_documents_follow_the_schedule_and_stay_whole(spark):
+    rng = random.Random(5)
+    texts = [" ".join("w" for _ in range(rng.randrange(1, 300))) for _ in range(90)]
+    sources = ["abc"[i % 3] for i in range(90)]
+    frame = docs(spark, texts, sources=sources)
+    plan, taken = mixing.mix(frame, block_words=64)
+    first = {}
+    for r in plan.collect():
+        at, got = first.get((r.id, r.epoch), (r.position, 0))
+        first[r.id, r.epoch] = (min(at, r.position), got + r.words)
+    want = sorted((at, hashlib.md5(str(i).encode()).hexdigest(), i) for (i, _), (at, got) in first.items() if 2 * got >= len(words(texts[i])))
+    out = mixing.mixed_documents(frame, whole=True, block_words=64).collect()
+    assert [r.doc_id for r in out] == [i for _, _, i in want]
+    assert all(r.text == texts[r.doc_id] for r in out)
+    targets = {r.source: r.target for r in taken.collect()}
+    for name, target in targets.items():
+        assert abs(sum(len(words(r.text)) for r in out if r.source == name) - target) <= 150
+
+
 # 3 secrets
 
 
