@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwater.llm import bpe, embeddings, exact, html, lines, minhash, mixing, secrets, substrings
+from brightwater.llm import bpe, embeddings, exact, html, lines, merkle, minhash, mixing, secrets, substrings
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"[^\x20\x09-\x0D]+"
 
+# CRC-32 of a decimal id, bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
 __all__ = ["ORACLES", "QUERIES"]
 
 
@@ -152,3 +158,62 @@ FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id LEFT JOIN gone ON w.doc_id = gon
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.drop_repeated_lines(table(spark, sf_dir, "documents"), run=3)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _merkle_sql(levels: int, top_levels: int) -> str:
+    """Each level of both storeys as a table, for trees of up to 16 ** levels nodes."""
+    field = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+    fields = [field.format(f) for f in ("doc_id", "source", "lang", "n_chars")]
+    changed = field.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    leaf = f"sha256({' || '.join([*fields, field.format('text')])})"
+    altered = f"CASE WHEN {CRC32} % 5 = 0 THEN sha256({' || '.join([*fields, changed])}) ELSE {leaf} END"
+    parts = [
+        f"x AS (SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf} AS d, {altered} AS shown FROM documents)",
+        "l0 AS (SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n, d, doc_id, shown FROM x)",
+    ]
+
+    def storey(name: str, count: int) -> None:
+        for k in range(count):
+            parts.append(
+                f"{name}{k + 1} AS (SELECT tree, pos // 16 AS pos, (max(n) + 15) // 16 AS n, "
+                f"CASE WHEN max(n) > 1 THEN sha256(string_agg(d, '' ORDER BY pos)) ELSE max(d) END AS d FROM {name}{k} GROUP BY tree, pos // 16)"
+            )
+            parts.append(
+                f"w{name}{k} AS (SELECT a.tree, a.pos, a.n > 1 AS up, coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l, "
+                f"coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r "
+                f"FROM {name}{k} a JOIN {name}{k} b ON a.tree = b.tree AND a.pos // 16 = b.pos // 16 GROUP BY a.tree, a.pos, a.n)"
+            )
+
+    storey("l", levels)
+    parts.append(f"t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, d, tree AS key FROM l{levels})")
+    storey("t", top_levels)
+    joins, steps = "l0", []
+    for name, count, pos in (("l", levels, "l0.pos"), ("t", top_levels, "t0.pos")):
+        joins += " JOIN t0 ON t0.key = l0.tree" if name == "t" else ""
+        for k in range(count):
+            joins += f" JOIN w{name}{k} ON w{name}{k}.tree = {name}0.tree AND w{name}{k}.pos = {pos} // {16**k}"
+            steps.append(f"w{name}{k}")
+    parts.append(f"j AS (SELECT l0.doc_id, l0.d AS leaf, l0.shown, t0.d AS subroot, {', '.join(f'{s}.up AS {s}_u, {s}.l AS {s}_l, {s}.r AS {s}_r' for s in steps)} FROM {joins})")
+    before = "j"
+    for k, s in enumerate(steps):
+        parts.append(f"f{k} AS (SELECT * REPLACE (CASE WHEN {s}_u THEN sha256({s}_l || shown || {s}_r) ELSE shown END AS shown) FROM {before})")
+        before = f"f{k}"
+    siblings = " || ".join(f"CASE WHEN {s}_u THEN {s}_l || {s}_r ELSE '' END" for s in steps)
+    return (
+        f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, t{top_levels}.d AS root, sha256({siblings}) AS proof_sha256, shown AS folded_root, "
+        f"shown = t{top_levels}.d AS verified FROM {before} CROSS JOIN t{top_levels}"
+    )
+
+
+@query("op13_merkle", _merkle_sql(levels=4, top_levels=3))
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    altered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    shown = merkle.leaf_digest([*map(F.col, fields), F.when(tampered, altered).otherwise(F.col("text"))])
+    found = merkle.manifest(documents, [*fields, "text"], carry={"shown": shown})
+    folded = merkle.folded(F.col("shown"), F.col("steps"))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root")
+    )
