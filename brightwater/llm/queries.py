@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwater.llm import bpe, embeddings, exact, html, lines, merkle, minhash, mixing, secrets, substrings
+from brightwater.llm import bpe, digest, embeddings, exact, html, lines, merkle, minhash, mixing, periods, secrets, substrings
 from brightwater.llm import quality as quality_operator
 from brightwater.llm.registry import ORACLES, QUERIES, query, table
 
@@ -217,3 +217,84 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
         "verified", F.col("folded_root") == F.col("root")
     )
+
+
+def _quarter_replaced(text: str, following: str) -> str:
+    """The text with its last quarter replaced by the beginning of the following one."""
+    k = len(text) // 4
+    return text[: len(text) - k] + following[:k]
+
+
+def _digest_sql() -> str:
+    """Fingerprints by unnested triplets; the table fp holds those of the texts (side 0) and of the edited ones (side 1)."""
+    at, b = "list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)", digest.BUCKETS
+    length = f"len(list_filter({digest.length_ladder()}, lambda x: x <= n_bytes))"
+    apart = f"list_sum(list_transform(range(1, {b + 3}), lambda i: abs(x.code[i] - y.code[i])))"
+    score = f"{apart} + {digest.LENGTH_WEIGHT} * least({digest.LENGTH_STEPS}, abs(x.size_code - y.size_code))"
+    near = f"CAST({digest.LIMIT} - least({digest.LIMIT}, {score}) AS DOUBLE) / {digest.LIMIT}"
+    return f"""WITH o AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id) - 1 AS r, count(*) OVER () AS n FROM documents),
+e AS (SELECT a.doc_id, a.t, b.doc_id AS next_id, a.t[:length(a.t) - length(a.t) // 4] || b.t[:length(a.t) // 4] AS ed
+      FROM o a JOIN o b ON b.r = (a.r + 1) % a.n),
+u AS (SELECT doc_id, 0 AS side, t AS s FROM e UNION ALL SELECT doc_id, 1, ed FROM e),
+bs AS (SELECT doc_id, side, strlen(s) AS n_bytes, {at} AS b FROM (SELECT doc_id, side, s, hex(encode(s)) AS h FROM u)),
+tr AS (SELECT doc_id, side, unnest(list_transform(range(1, len(b) - 1), lambda i: (b[i] + 256 * b[i + 1] + 65536 * b[i + 2]) * {digest.FACTOR} % 4294967296 // 16777216)) AS k FROM bs),
+c AS (SELECT doc_id, side, k, count(*) AS c FROM tr GROUP BY ALL),
+m AS (SELECT bs.doc_id, bs.side, max(n_bytes) AS n_bytes, list(coalesce(c, 0) ORDER BY range) AS counts
+      FROM bs CROSS JOIN range({b}) LEFT JOIN c ON bs.doc_id = c.doc_id AND bs.side = c.side AND k = range GROUP BY bs.doc_id, bs.side),
+q AS (SELECT *, list_sort(counts) AS so FROM m),
+z AS (SELECT doc_id, side, {length} AS size_code, so[{b // 4}] AS q1, so[{b // 2}] AS q2, so[{3 * b // 4}] AS q3, counts FROM q),
+fp AS (SELECT doc_id, side, size_code, list_concat([15 * q1 // greatest(q3, 1), 15 * q2 // greatest(q3, 1)],
+         list_transform(counts, lambda c: (c > q1)::BIGINT + (c > q2)::BIGINT + (c > q3)::BIGINT)) AS code FROM z),
+f AS (SELECT *, format('{{:03x}}{{:x}}{{:x}}', size_code, code[1], code[2]) ||
+        array_to_string(list_transform(range(3, {b + 3}, 2), lambda i: format('{{:x}}', 4 * code[i] + code[i + 1])), '') AS mark FROM fp)
+SELECT e.doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(ed) AS edited_sha256, x.mark AS fingerprint, y.mark AS edited_fingerprint,
+       {near} AS near_edited, {near.replace("y.", "v.")} AS near_next
+FROM e JOIN f x ON x.doc_id = e.doc_id AND x.side = 0 JOIN f y ON y.doc_id = e.doc_id AND y.side = 1 JOIN f v ON v.doc_id = e.next_id AND v.side = 0"""
+
+
+@query("op12_fingerprints", _digest_sql())
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.compare_with_next(table(spark, sf_dir, "documents"), _quarter_replaced)
+
+
+_RUNS_SQL = f"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS ws, {CRC32} AS h FROM documents),
+a AS (SELECT doc_id, ws, len(ws) AS n, h, h // 10 AS g, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM w),
+p AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - a) // (3 + g % 8) END AS p FROM a),
+t AS (SELECT doc_id, n, CASE WHEN p IS NULL THEN ws ELSE list_transform(range(n), lambda i: CASE WHEN i < a THEN ws[i + 1] ELSE ws[a + (i - a) % p + 1] END) END AS ws FROM p),
+x AS (SELECT doc_id, i, array_to_string(ws[i + 1:i + 6], ' ') AS six FROM (SELECT doc_id, ws, unnest(range(n - 5)) AS i FROM t)),
+m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM x JOIN x y ON x.doc_id = y.doc_id AND x.six = y.six AND x.i < y.i),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + 5 + q AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch FROM m) GROUP BY doc_id, q, stretch),
+r AS (SELECT doc_id, start, length, min(q) AS q FROM s WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length),
+o AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed,
+             min(struct_pack(k := -length, s := start, q := q)) AS best FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM r),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS c FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(n)) AS i FROM t) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, CAST(-best.k AS BIGINT) AS length, best.q AS period,
+       CAST(-1000 * best.k // best.q AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+FROM t LEFT JOIN o ON t.doc_id = o.doc_id LEFT JOIN kept ON t.doc_id = kept.doc_id"""
+
+
+@query("op11_periods", _RUNS_SQL)
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORDS), F.lit(0)))
+    planted = documents.select("doc_id", "text", chosen.alias("ws"), F.expr("crc32(string(doc_id)) div 10").alias("g")).withColumn("n", F.size("ws"))
+    planted = planted.withColumn("a", F.expr("int(g % nullif(greatest(n, 0), 0))")).withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    tail = F.expr("slice(flatten(array_repeat(slice(ws, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)")
+    text = F.when(F.col("n") > 0, F.array_join(F.concat(F.slice("ws", F.lit(1), F.col("a")), tail), " ")).otherwise(F.col("text"))
+    found = periods.periodic_runs(planted.select("doc_id", text.alias("text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"], r["start"].alias("start"), r["period"].alias("period"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
