@@ -7,8 +7,7 @@ import functools
 import re
 import sys
 import unicodedata
-from collections import ChainMap
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -91,11 +90,11 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     return out
 
 
-def _category(initial: str) -> str:
-    """The characters of one general category, as the inside of a character class."""
+def _category(initial: str, limit: int) -> str:
+    """The characters below ``limit`` of one general category, as the inside of a character class."""
     ranges, first = [], None
-    for code in range(sys.maxunicode + 2):
-        if code <= sys.maxunicode and unicodedata.category(chr(code))[0] == initial:
+    for code in range(limit + 1):
+        if code < limit and unicodedata.category(chr(code))[0] == initial:
             first = code if first is None else first
         elif first is not None:
             ranges.append(f"\\U{first:08x}-\\U{code - 1:08x}")
@@ -104,14 +103,30 @@ def _category(initial: str) -> str:
 
 
 @functools.cache
-def splitter(pattern: str):
-    """The pattern with its Unicode classes written out, so that the standard library's engine runs it."""
-    for name, inside in ((r"\p{L}", _category("L")), (r"\p{N}", _category("N"))):
+def _splitter_below(pattern: str, limit: int):
+    for name, inside in ((r"\p{L}", _category("L", limit)), (r"\p{N}", _category("N", limit))):
         pattern = _written_out(pattern, name, inside, f"[{inside}]")
     pattern = _written_out(pattern, r"\s", WHITE_SPACE, f"[{WHITE_SPACE}]")
     return re.compile(pattern.replace(r"\S", f"[^{WHITE_SPACE}]")).findall
 
 
+@functools.cache
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The pattern's matches in a text, with its Unicode classes written out for the standard library's engine.
+
+    A text without characters beyond the basic plane (or ASCII) is split by classes without them, which that engine
+    looks up in one table and else range by range.
+    """
+    narrow, basic, full = (_splitter_below(pattern, limit) for limit in (1 << 7, 1 << 16, sys.maxunicode + 1))
+
+    def split(text: str) -> list[str]:
+        if text.isascii():
+            return narrow(text)
+        return basic(text) if len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text) else full(text)
+
+    return split
+
+
 def _written_out(pattern: str, name: str, inside: str, outside: str) -> str:
     """Replace a class name, by ``inside`` where it stands between brackets."""
     out, depth = [], 0
@@ -135,6 +150,7 @@ class PairTable:
         ]
         while 1 << self.BITS < 4 * len(pairs):
             self.BITS += 1
+        self.highest = max(ranks.values())
         self.keys = np.full(1 << self.BITS, -1, dtype=np.int64)
         self.ranks = np.zeros(1 << self.BITS, dtype=np.int64)
         keys, values = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
@@ -150,7 +166,7 @@ class PairTable:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
 
     def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = left << 32 | right
+        keys = left.astype(np.int64) << 32 | right
         slots, out = self._slots(keys), np.full(len(keys), _NONE, dtype=np.int64)
         rest = np.arange(len(keys))
         while len(rest):
@@ -163,18 +179,29 @@ class PairTable:
 
 
 def merge_many(pieces: list[bytes], leaves: int, single: np.ndarray, pairs: PairTable) -> list[tuple[int, ...]]:
-    """As ``merge``, for many pieces of 2 to ``leaves`` bytes at once: a row of the arrays is one piece's tree."""
+    """As ``merge``, for many pieces of 2 to ``leaves`` bytes at once."""
+    flat, ends = merged_rows(pieces, leaves, single, pairs)
+    return [tuple(flat[a:b].tolist()) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def merged_rows(pieces: list[bytes], leaves: int, single: np.ndarray, pairs: PairTable) -> tuple[np.ndarray, list[int]]:
+    """Ids of the pieces one after the other, and where each piece's end. A row of the arrays is one piece's tree.
+
+    A tree's value is rank and place in one number, of 32 bits where the ranks leave room.
+    """
     n = len(pieces)
-    sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=n)
+    kind = np.int32 if pairs.highest < 1 << 22 else np.int64
+    most = np.iinfo(kind).max
+    sizes = np.fromiter(map(len, pieces), dtype=kind, count=n)
     raw = np.frombuffer(b"".join(p.ljust(leaves, b"\0") for p in pieces), dtype=np.uint8).reshape(n, leaves)
-    token = single[raw]
-    place = np.arange(leaves)
+    token = single.astype(kind)[raw]
+    place = np.arange(leaves, dtype=kind)
     after = np.broadcast_to(place + 1, (n, leaves)).copy()
     before = np.broadcast_to(place - 1, (n, leaves)).copy()
-    tree = np.full((n, 2 * leaves), _NONE, dtype=np.int64)
+    tree = np.full((n, 2 * leaves), most, dtype=kind)
     rank = pairs(token[:, :-1].ravel(), token[:, 1:].ravel()).reshape(n, leaves - 1)
     real = (place[1:] < sizes[:, None]) & (rank != _NONE)
-    tree[:, leaves : 2 * leaves - 1] = np.where(real, rank << 8 | place[:-1], _NONE)
+    tree[:, leaves : 2 * leaves - 1] = np.where(real, (np.where(real, rank, 0) << 8).astype(kind) | place[:-1], most)
     width = leaves
     while width > 1:
         width //= 2
@@ -190,15 +217,17 @@ def merge_many(pieces: list[bytes], leaves: int, single: np.ndarray, pairs: Pair
 
     def pair(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
         right = after[rows, at]
-        out = np.full(len(rows), _NONE, dtype=np.int64)
+        out = np.full(len(rows), most, dtype=kind)
         ok = np.flatnonzero(right < sizes[rows])
         found = pairs(token[rows[ok], at[ok]], token[rows[ok], right[ok]])
-        out[ok] = np.where(found == _NONE, _NONE, found << 8 | at[ok])
+        known = found != _NONE
+        ok, found = ok[known], found[known]
+        out[ok] = (found << 8).astype(kind) | at[ok]
         return out
 
     rows = np.arange(n)
     while True:
-        rows = rows[tree[rows, 1] != _NONE]
+        rows = rows[tree[rows, 1] != most]
         if not len(rows):
             break
         best = tree[rows, 1]
@@ -209,26 +238,27 @@ def merge_many(pieces: list[bytes], leaves: int, single: np.ndarray, pairs: Pair
         after[rows, at] = end
         inner = end < sizes[rows]
         before[rows[inner], end[inner]] = at[inner]
-        put(rows, right, np.full(len(rows), _NONE, dtype=np.int64))
+        put(rows, right, np.full(len(rows), most, dtype=kind))
         put(rows, at, pair(rows, at))
         left = before[rows, at]
         has = left >= 0
         put(rows[has], left[has], pair(rows[has], left[has]))
     live = np.zeros((n, leaves), dtype=bool)
-    at = np.zeros(n, dtype=np.int64)
+    at = np.zeros(n, dtype=kind)
     rows = np.arange(n)
     while len(rows):
         live[rows, at] = True
         at = after[rows, at]
         keep = at < sizes[rows]
         rows, at = rows[keep], at[keep]
-    flat = token[live].tolist()
-    ends = np.cumsum([0, *live.sum(axis=1)]).tolist()
-    return [tuple(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return token[live].astype(np.int32), np.cumsum(live.sum(axis=1)).tolist()
 
 
 class Encoder:
-    """Splits texts by the pattern and encodes each match; remembers short pieces, up to a fixed number."""
+    """Splits texts by the pattern and encodes each match; remembers short pieces, up to a fixed number.
+
+    The ids of a piece are kept as the bytes of 32-bit numbers, so that a text's ids are those of its pieces joined.
+    """
 
     LEAVES = (8, 16, 32, 64)
 
@@ -238,41 +268,51 @@ class Encoder:
         self.ranks, self.longest = ranks, max(map(len, ranks))
         self.single = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
         self.pairs, self.split = PairTable(ranks), splitter(pattern)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def learn(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
+    def learn(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of pieces not seen before."""
-        found: dict[str, tuple[int, ...]] = {}
-        by_size: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in pieces:
-            raw = piece.encode()
-            rank = self.ranks.get(raw)
-            if rank is not None:
-                found[piece] = (rank,)
-            elif len(raw) > self.LEAVES[-1]:
-                found[piece] = tuple(merge(raw, self.ranks, self.longest))
-            else:
-                by_size.setdefault(next(x for x in self.LEAVES if len(raw) <= x), []).append((piece, raw))
-        for leaves, group in by_size.items():
-            for first in range(0, len(group), MANY):
-                part = group[first : first + MANY]
-                ids = merge_many([raw for _, raw in part], leaves, self.single, self.pairs)
-                found.update(zip((piece for piece, _ in part), ids, strict=True))
+        names = list(pieces)
+        raws = [piece.encode() for piece in names]
+        whole = list(map(self.ranks.get, raws))
+        found = {name: rank.to_bytes(4, sys.byteorder) for name, rank in zip(names, whole, strict=True) if rank is not None}
+        rest = np.array([rank is None for rank in whole], dtype=bool)
+        sizes = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+        group = np.where(rest, np.searchsorted(self.LEAVES, sizes), -1)
+        for i in np.flatnonzero(group == len(self.LEAVES)).tolist():
+            found[names[i]] = np.array(merge(raws[i], self.ranks, self.longest), dtype=np.int32).tobytes()
+        for k, leaves in enumerate(self.LEAVES):
+            own = np.flatnonzero(group == k).tolist()
+            for first in range(0, len(own), MANY):
+                part = own[first : first + MANY]
+                flat, ends = merged_rows([raws[i] for i in part], leaves, self.single, self.pairs)
+                data, start = flat.tobytes(), 0
+                for i, end in zip(part, ends, strict=True):
+                    found[names[i]] = data[4 * start : 4 * end]
+                    start = end
         return found
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode_bytes(self, texts: list[str | None]) -> list[bytes]:
+        """Of each text its ids as the bytes of 32-bit numbers."""
         split = [self.split(text) if text else [] for text in texts]
+        pieces = set(chain.from_iterable(split))
         if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        new = self.learn(set(chain.from_iterable(split)).difference(self.known))
-        self.known.update(x for x in new.items() if len(x[0]) <= CACHED_CHARS)
-        known = self.known if len(new) == 0 else ChainMap(new, self.known) if any(len(p) > CACHED_CHARS for p in new) else self.known
-        return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
+            self.known = {p: self.known[p] for p in pieces & self.known.keys()}
+        new = self.learn(pieces.difference(self.known))
+        self.known.update(new)
+        out = [b"".join(map(self.known.__getitem__, row)) for row in split]
+        for piece in new:
+            if len(piece) > CACHED_CHARS:
+                del self.known[piece]
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [np.frombuffer(row, dtype=np.int32).tolist() for row in self.encode_bytes(texts)]
 
 
-def _int_lists(rows: list[list[int]]) -> pa.Array:
-    offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.fromiter(chain.from_iterable(rows), dtype=np.int32, count=offsets[-1])))
+def _int_lists(rows: list[bytes]) -> pa.Array:
+    offsets = np.cumsum([0, *(len(row) // 4 for row in rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
 
 
 def _small(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
@@ -307,7 +347,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(table.value, pattern)
         for batch in _small(batches, at):
-            ids = _int_lists(encoder.encode(batch.column(at).to_pylist()))
+            ids = _int_lists(encoder.encode_bytes(batch.column(at).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], schema=pa.schema([*batch.schema, pa.field(ids_col, ids.type)]))
 
     frame = frame.drop(ids_col) if ids_col != text_col else frame
@@ -320,18 +360,23 @@ def decode(frame: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", byte
     table = frame.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = [b""] * (max(table.value.values()) + 1)
-        known = np.zeros(len(tokens), dtype=bool)
+        listed = [b""] * (max(table.value.values()) + 1)
+        known = np.zeros(len(listed), dtype=bool)
         for token, rank in table.value.items():
-            tokens[rank], known[rank] = token, True
+            listed[rank], known[rank] = token, True
+        tokens = pa.array(listed, type=pa.large_binary())
         for batch in _small(batches, at):
             column = batch.column(at).fill_null([])
             flat = column.flatten().to_numpy(zero_copy_only=False)
             if len(flat) and (flat.min() < 0 or flat.max() >= len(tokens) or not known[flat].all()):
                 raise ValueError("ids outside the vocabulary")
             ends = np.cumsum([0, *column.value_lengths().to_numpy(zero_copy_only=False)])
-            parts = list(map(tokens.__getitem__, flat.tolist()))
-            out = pa.array([b"".join(parts[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], type=pa.binary())
+            # The gathered tokens lie one after the other, so a row's bytes go from its first token's to its last's.
+            gathered = tokens.take(pa.array(flat, type=pa.int64()))
+            _, places, data = gathered.buffers()
+            at_token = np.frombuffer(places, dtype=np.int64)[: len(flat) + 1] if len(flat) else np.zeros(1, dtype=np.int64)
+            rows = pa.py_buffer(at_token[ends].astype(np.int64))
+            out = pa.Array.from_buffers(pa.large_binary(), len(column), [None, rows, data]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, out], schema=pa.schema([*batch.schema, pa.field(bytes_col, out.type)]))
 
     frame = frame.drop(bytes_col)
