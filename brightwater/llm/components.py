@@ -13,6 +13,11 @@ def _nearest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Number and sum of hashes of the edges, to see whether a round changed them."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """The smallest node each linked node can reach: ``(id, component_id)``.
 
@@ -33,7 +38,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct()
     )
     edges = written(edges, "links")
-    before = None
+    before = _mark(edges)
+    if not before[0]:
+        return edges.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (
@@ -52,7 +59,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
             .distinct()
         )
         edges = written(small, "small-star")
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        mark = _mark(edges)
         if mark == before:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component_id")).unionByName(
                 edges.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct()

@@ -132,17 +132,22 @@ def _confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, threshold: in
     return _with(likely, sets, "shingles").where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def _placed(postings: DataFrame, links: DataFrame | None) -> DataFrame:
+def _placed(postings: DataFrame, found: DataFrame | None) -> DataFrame:
     """Postings with each node's component so far, in lists that hold several components."""
-    if links is None:
+    if found is None:
         placed = postings.withColumn("comp", F.col("node"))
     else:
-        found = written(components(links), "components")
         placed = postings.join(found.withColumnRenamed("id", "node"), "node", "left")
         placed = placed.withColumn("comp", F.coalesce("component_id", "node")).drop("component_id")
     placed = written(placed, "placed")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    return placed.join(written(mixed, "mixed-lists"), "token")
+    return written(placed.join(written(mixed, "mixed-lists"), "token"), "mixed-postings")
+
+
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of the links so far, given as components, and new ones."""
+    links = links if found is None else links.unionByName(found.select(F.col("id").alias("a"), F.col("component_id").alias("b")))
+    return written(components(links), "components")
 
 
 def _largest(placed: DataFrame, key: str) -> DataFrame:
@@ -173,18 +178,24 @@ def _shared(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
 def _family_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links inside families that join components: ``a, b`` of one spanning forest for each pair of blocks.
 
-    A family is the nodes that one hub stands for. Those outside its largest component are
+    ``members`` has ``family, node, comp``. The nodes outside a family's largest component, its strays, are
     compared with all its nodes, block against block on full sets; a task has two blocks of about
-    ``BLOCK`` nodes, and returns one edge per node in place of the pairs.
+    ``BLOCK`` nodes, and returns one edge per node in place of the pairs. Sets are copied once for each block they meet.
     """
-    split = members.join(_largest(members, "family"), "family")
-    sizes = split.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    split = written(split, "families").join(written(sizes, "family-sizes"), "family").join(sets, "node")
-    split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    split = written(members.join(_largest(members, "family"), "family"), "families")
+    stray = F.col("comp") != F.col("most")
+    sizes = split.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.ceil(F.count_if(stray) / BLOCK).alias("stray_blocks"))
+    split = split.join(written(sizes, "family-sizes"), "family").join(sets, "node")
     columns = ["family", "node", "comp", "shingles"]
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    left = split.where("comp <> most").select(*columns, F.col("block").alias("i"), every.alias("j"))
-    right = split.select(*columns, F.col("block").alias("j"), every.alias("i")).toDF(*columns, "j", "i")  # columns of its own
+
+    def block(count: str):
+        return F.pmod(F.xxhash64("node"), F.col(count))
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    left = split.where(stray).select(*columns, block("stray_blocks").alias("i"), every("blocks").alias("j"))
+    right = split.select(*columns, block("blocks").alias("j"), every("stray_blocks").alias("i")).toDF(*columns, "j", "i")  # columns of its own
     kind = members.schema["node"].dataType.simpleString()
 
     def compare(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
@@ -209,6 +220,22 @@ def _ordered(one: str, other: str) -> list:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
+def _linked(postings: DataFrame, sigs: DataFrame, sets: DataFrame, threshold: int, percent: int) -> DataFrame:
+    """Components of the nodes (``id, component_id``), from their postings (``node, token, weight``)."""
+    # The node whose tokens are the most common is the likeliest centre of its lists.
+    placed = _placed(postings, None)
+    best = F.max(F.struct("weight", F.xxhash64("node").alias("h"), F.col("node").alias("hub")))
+    hubs = written(placed.groupBy("token").agg(best.alias("m")).select("token", "m.hub"), "hubs")
+    pairs = placed.join(hubs, "token").where("node <> hub").select(*_ordered("node", "hub")).distinct()
+    found = _joined(None, _confirmed(written(pairs, "hub-pairs"), sigs, sets, threshold, percent))
+    placed = _placed(postings, found)
+    if placed.isEmpty():
+        return found
+    # Lists with one hub are one family; a node is in the family of each of its lists.
+    members = placed.join(hubs, "token").select(F.col("hub").alias("family"), "node", "comp").distinct()
+    return _joined(found, _family_links(written(members, "members"), sets, percent))
+
+
 def near_components(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -232,9 +259,9 @@ def near_components(
     coordinates, so it meets in the prefix: tokens that nobody shares count
     first, then the rarest, and a node with fewer shared tokens than the threshold posts nothing.
     In each list nodes first meet its hub, the node with the most common tokens; links join them to
-    components, and only pairs of different components need be looked at, then all of them:
-    nodes of one hub's family block against block on full sets, pairs of
-    two families as rows. A pair's collisions are counted on its signatures, and it is confirmed on
+    components, and only pairs of different components need be looked at, then all of them: the lists of
+    one hub form a family, whose nodes are compared block against block on full sets. Pairs of nodes other than with
+    a hub are never rows. A hub pair's collisions are counted on the signatures, and it is confirmed on
     the full sets. Links within a component are not listed; none that joins two components is lost, but for the
     signature's error: a pair exactly at the threshold is overlooked with probability ``miss`` at most.
     """
@@ -263,26 +290,8 @@ def near_components(
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sets = written(_set_table(texts.join(wanted, F.col("id") == F.col("node")), size), "sets")
 
-    # The node whose tokens are the most common is the likeliest centre of its lists.
-    placed = _placed(postings, None)
-    best = F.struct("weight", F.xxhash64("node").alias("h"), F.col("node").alias("hub"))
-    hubs = written(placed.groupBy("token").agg(F.max(best).alias("m")).select("token", F.col("m.hub").alias("hub"), F.col("m.weight").alias("hub_weight")), "hubs")
-    met = placed.join(hubs, "token")
-    pairs = written(met.where("node <> hub").select(*_ordered("node", "hub")).distinct(), "hub-pairs")
-    families = met.groupBy("node").agg(F.max(F.struct("hub_weight", "hub")).alias("m")).select("node", F.col("m.hub").alias("family"))
-    families = written(families, "families")
-    links = written(_confirmed(pairs, sigs, sets, threshold, percent), "links")
-    placed = written(_placed(postings, links).join(families, "node"), "placed")
-    within = written(_family_links(placed.select("family", "node", "comp").distinct(), sets, percent), "family-links")
-    largest = _largest(placed, "token")
-    placed = placed.join(largest, "token")
-    others = written(placed.where("comp <> most").select("token", F.col("node").alias("other"), F.col("comp").alias("other_comp"), F.col("family").alias("other_family")), "others")
-    across = placed.join(others, "token").where("comp <> other_comp AND family <> other_family AND (comp = most OR node < other)")
-    across = across.select(*_ordered("node", "other")).distinct().join(pairs, ["a", "b"], "left_anti")
-    links = links.unionByName(within).unionByName(written(_confirmed(written(across, "rest-pairs"), sigs, sets, threshold, percent), "links"))
-
-    # Several sets of one id are one node: join them through the id.
-    found = written(components(links.unionByName(_repeats(table, nodes))), "components").withColumnRenamed("id", "node")
+    found = _linked(postings, sigs, sets, threshold, percent)
+    found = _joined(found, _repeats(table, nodes)).withColumnRenamed("id", "node")  # several sets of one id are one node
     known = table.join(nodes, key, "left").select("id", "n_shingles", "node").join(found, "node", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "node", "id"))
     return known.select(
