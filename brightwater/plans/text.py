@@ -10,7 +10,7 @@ from brightwater.operators import classify, documents
 from brightwater.operators.models import holdout_split
 from brightwater.plans import sql
 from brightwater.plans.registry import joined, query, rounded
-from brightwater.sources.adapters import contract_texts, table
+from brightwater.sources.adapters import contract_texts, named_contracts, named_phrases, table
 
 
 def quoted(pattern: str) -> str:
@@ -292,15 +292,21 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
           UNION SELECT lower(p_name), 'PRODUCT' FROM part
           UNION SELECT array_to_string(list_slice({tokens_sql('text')}, 1, 3), ' '), 'LAW' FROM benchmark),
         sized AS (SELECT phrase, label, length(phrase) - length(replace(phrase, ' ', '')) + 1 AS n FROM phrases),
-        tokens AS (SELECT doc_id, {tokens_sql('text')} AS t FROM documents),
+        tokens AS (SELECT doc_id, {tokens_sql('text')} AS t, regexp_extract_all(text, {quoted(tx.TOKEN_PATTERN)}) AS w,
+                          string_split_regex(text, {quoted(tx.TOKEN_PATTERN)}) AS g FROM documents),
+        placed AS (SELECT doc_id, i, sum(size) OVER (PARTITION BY doc_id ORDER BY i) AS e, sum(size) OVER (PARTITION BY doc_id ORDER BY i) - own AS s
+                   FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(list_transform(w, lambda x: length(x))) AS own,
+                                unnest(list_transform(list_zip(g[:len(w)], w), lambda z: length(z[1]) + length(z[2]))) AS size FROM tokens)),
         starts AS (SELECT doc_id, t, unnest(generate_series(1, len(t))) AS i FROM tokens WHERE len(t) > 0),
         grams AS (SELECT doc_id, i, n, array_to_string(list_slice(t, i, i + n - 1), ' ') AS gram
                   FROM starts, (SELECT DISTINCT n FROM sized) WHERE i + n - 1 <= len(t))
-        SELECT doc_id, gram AS text, label, CAST(i - 1 AS INTEGER) AS token_index, CAST(grams.n AS INTEGER) AS token_count
-        FROM grams JOIN sized ON gram = phrase AND grams.n = sized.n""",
+        SELECT grams.doc_id, gram AS text, label, CAST(grams.i - 1 AS INTEGER) AS token_index, CAST(grams.n AS INTEGER) AS token_count,
+               CAST(a.s AS INTEGER) AS start, CAST(z.e AS INTEGER) AS end_
+        FROM grams JOIN sized ON gram = phrase AND grams.n = sized.n JOIN placed a ON a.doc_id = grams.doc_id AND a.i = grams.i
+             JOIN placed z ON z.doc_id = grams.doc_id AND z.i = grams.i + grams.n - 1""",
 )
 def gazetteer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.gazetteer_entities(table(spark, sf_dir, "documents"), gazetteer(spark, sf_dir))
+    return documents.gazetteer_entities(table(spark, sf_dir, "documents"), gazetteer(spark, sf_dir)).withColumnRenamed("end", "end_")
 
 
 LEXICON_SQL = quoted(extraction.lexicon_pattern(extraction.OBLIGATION_WORDS))
@@ -319,41 +325,75 @@ def extract_obligations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NAMED_CONTRACTS = """contracts AS (SELECT o_orderkey AS doc_id, concat(c_name, ' of ', n_name,
+    CASE WHEN o_orderstatus = 'F' THEN ' shall buy the ' ELSE ' bought one ' END, coalesce(p_name, 'parcel'),
+    ' from Northwind Traders Inc. for $', CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR), ' by ', strftime(o_orderdate, '%Y-%m-%d'),
+    ' under the  Fair Trade Act of 2001. ',
+    CASE WHEN o_orderpriority = '1-URGENT' THEN concat('The parties must meet at the Spring', chr(9), 'Fair! ') ELSE 'Été is over. ' END,
+    'Write to desk', CAST(o_custkey AS VARCHAR), '@example.com.') AS text
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey LEFT JOIN part ON p_partkey = o_custkey)"""
+
+
+def _entities_sql(source: str) -> str:
+    """Tables up to ``ents``: of the patterns' and the list's spans those that a sweep from the left keeps.
+
+    No match of a pattern occurs twice in a text, so it is found by searching.
+    """
+    word = quoted(tx.TOKEN_PATTERN)
+    return f"""phrases AS (SELECT lower(array_to_string(regexp_extract_all(phrase, {word}), ' ')) AS phrase, len(regexp_extract_all(phrase, {word})) AS n, label
+          FROM (SELECT c_name AS phrase, 'PERSON' AS label FROM customer UNION SELECT n_name, 'GPE' FROM nation UNION SELECT p_name, 'PRODUCT' FROM part
+                UNION VALUES ('Northwind Traders', 'ORG'), ('Fair Trade Act', 'LAW'), ('Trade Act of 2001', 'LAW'), ('Spring Fair', 'EVENT'), ('fair', 'EVENT'))),
+        words AS (SELECT doc_id, text, regexp_extract_all(text, {word}) AS ws, string_split_regex(text, {word}) AS gs FROM {source}),
+        places AS (SELECT doc_id, text, ws, list_transform(range(1, len(ws) + 1), lambda i: CAST(length(array_to_string(gs[:i], '')) + length(array_to_string(ws[:i - 1], '')) AS BIGINT)) AS st FROM words),
+        grams AS (SELECT doc_id, st[i] AS s, st[i + n - 1] + length(ws[i + n - 1]) AS e, lower(array_to_string(ws[i:i + n - 1], ' ')) AS gram, n
+                  FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM places), (SELECT DISTINCT n FROM phrases) WHERE i + n - 1 <= len(ws)),
+        found AS (SELECT doc_id, s, e, 1 AS rank, label FROM grams JOIN phrases ON gram = phrase AND grams.n = phrases.n
+          UNION SELECT doc_id, strpos(text, m) - 1, strpos(text, m) - 1 + length(m), 0,
+                       CASE WHEN regexp_full_match(m, {quoted(extraction.MONEY_PATTERN)}) THEN 'MONEY'
+                            WHEN regexp_full_match(m, {quoted(extraction.DATE_PATTERN)}) THEN 'DATE' ELSE 'ORG' END
+          FROM (SELECT doc_id, text, unnest(regexp_extract_all(text, {quoted(extraction.ANY_ENTITY)})) AS m FROM {source})),
+        sweep AS (SELECT doc_id, min(struct_pack(s := s, stop := -e, rank := rank, label := label)) AS k FROM found GROUP BY doc_id
+          UNION ALL SELECT found.doc_id, min(struct_pack(s := found.s, stop := -found.e, rank := found.rank, label := found.label))
+          FROM sweep JOIN found ON found.doc_id = sweep.doc_id AND found.s >= -sweep.k.stop GROUP BY found.doc_id),
+        ents AS (SELECT sweep.doc_id, k.label AS label, k.s AS s, -k.stop AS e, substr(text, CAST(k.s + 1 AS BIGINT), CAST(-k.stop - k.s AS BIGINT)) AS text
+                 FROM sweep JOIN {source} AS src ON src.doc_id = sweep.doc_id)"""
+
+
 @query(
     "entity_table",
-    f"""WITH {sql.CONTRACTS},
-        m AS (SELECT doc_id, text AS body, unnest(regexp_extract_all(text, {quoted(extraction.ANY_ENTITY)})) AS text FROM contracts)
-        SELECT doc_id, text, CASE WHEN regexp_full_match(text, {quoted(extraction.MONEY_PATTERN)}) THEN 'MONEY'
-                 WHEN regexp_full_match(text, {quoted(extraction.DATE_PATTERN)}) THEN 'DATE' ELSE 'ORG' END AS label,
-               CAST(strpos(body, text) - 1 AS INTEGER) AS start, CAST(strpos(body, text) - 1 + length(text) AS INTEGER) AS end_,
-               CAST(1 AS DOUBLE) AS confidence FROM m""",
+    f"""WITH RECURSIVE {NAMED_CONTRACTS}, {_entities_sql("contracts")}
+        SELECT doc_id, text, label, CAST(s AS INTEGER) AS start, CAST(e AS INTEGER) AS end_, CAST(1 AS DOUBLE) AS confidence FROM ents""",
 )
 def entity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No entity occurs twice in a contract, so SQL finds the offsets by searching."""
-    return documents.entity_table(contract_texts(spark, sf_dir)).withColumnRenamed("end", "end_")
+    """All eight types: patterns and list, without overlap."""
+    found = documents.entity_table(named_contracts(spark, sf_dir), gazetteer=named_phrases(spark, sf_dir))
+    return found.withColumnRenamed("end", "end_")
 
 
 def _of_type_sql(pattern: str) -> str:
     return f"array_to_string(list_filter(found, lambda e: regexp_full_match(e, {quoted(pattern)})), '|')"
 
 
+def _listed_sql(labels: str) -> str:
+    return f"coalesce(string_agg(ents.text, '|' ORDER BY s) FILTER (label IN ({labels})), '')"
+
+
 @query(
     "extraction_result",
-    f"""WITH {sql.CONTRACTS},
-        c AS (SELECT doc_id, {clean_sql('text')} AS t FROM contracts),
-        f AS (SELECT doc_id, regexp_extract_all(t, {quoted(extraction.ANY_ENTITY)}) AS found,
-                     list_filter({sentences_sql('t')}, lambda s: regexp_matches(s, {LEXICON_SQL})) AS duties FROM c)
-        SELECT doc_id, CAST(len(found) AS INTEGER) AS entity_count, array_to_string(found, '|') AS entities,
-               array_to_string(duties, '|') AS obligations, {_of_type_sql(extraction.DATE_PATTERN)} AS dates,
-               {_of_type_sql(extraction.MONEY_PATTERN)} AS monetary_values, {_of_type_sql(extraction.PARTY_PATTERN)} AS parties
-        FROM f""",
+    f"""WITH RECURSIVE {NAMED_CONTRACTS},
+        c AS (SELECT doc_id, {clean_sql('text')} AS text FROM contracts), {_entities_sql("c")},
+        d AS (SELECT doc_id, array_to_string(list_filter({sentences_sql('text')}, lambda s: regexp_matches(s, {LEXICON_SQL})), '|') AS obligations FROM c)
+        SELECT d.doc_id, CAST(count(ents.text) AS INTEGER) AS entity_count, coalesce(string_agg(label || '=' || ents.text, '|' ORDER BY s), '') AS entities,
+               any_value(obligations) AS obligations, {_listed_sql("'DATE'")} AS dates, {_listed_sql("'MONEY'")} AS monetary_values,
+               {_listed_sql("'ORG', 'PERSON'")} AS parties
+        FROM d LEFT JOIN ents ON ents.doc_id = d.doc_id GROUP BY d.doc_id""",
 )
 def extraction_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = documents.extraction_result(contract_texts(spark, sf_dir), normalize=False)
+    out = documents.extraction_result(named_contracts(spark, sf_dir), normalize=False, gazetteer=named_phrases(spark, sf_dir))
     return out.select(
         "doc_id",
         "entity_count",
-        F.concat_ws("|", F.transform("entities", lambda e: e["text"])).alias("entities"),
+        F.concat_ws("|", F.transform("entities", lambda e: F.concat_ws("=", e["label"], e["text"]))).alias("entities"),
         *[joined(c).alias(c) for c in ("obligations", "dates", "monetary_values", "parties")],
     )
 

@@ -105,3 +105,41 @@ def contract_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderkey").cast("string"),
         ).alias("text"),
     )
+
+
+def named_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One contract per order that names its customer, country, product, supplier, law and sometimes an event."""
+    orders, customer, nation, part = (table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "part"))
+    rows = (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(part.select(F.col("p_partkey").alias("o_custkey"), "p_name"), "o_custkey", "left")
+    )
+    return rows.select(
+        F.col("o_orderkey").alias("doc_id"),
+        F.concat(
+            F.col("c_name"),
+            F.lit(" of "),
+            F.col("n_name"),
+            F.when(F.col("o_orderstatus") == "F", " shall buy the ").otherwise(" bought one "),
+            F.coalesce("p_name", F.lit("parcel")),
+            F.lit(" from Northwind Traders Inc. for $"),
+            F.floor("o_totalprice").cast("string"),
+            F.lit(" by "),
+            F.date_format("o_orderdate", "yyyy-MM-dd"),
+            F.lit(" under the  Fair Trade Act of 2001. "),
+            F.when(F.col("o_orderpriority") == "1-URGENT", "The parties must meet at the Spring\tFair! ").otherwise("Été is over. "),
+            F.lit("Write to desk"),
+            F.col("o_custkey").cast("string"),
+            F.lit("@example.com."),
+        ).alias("text"),
+    )
+
+
+def named_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A (phrase, label) list for :func:`named_contracts`; some phrases overlap others and the patterns' matches."""
+    fixed = [("Northwind Traders", "ORG"), ("Fair Trade Act", "LAW"), ("Trade Act of 2001", "LAW"), ("Spring Fair", "EVENT"), ("fair", "EVENT")]
+    out = spark.createDataFrame(fixed, "phrase string, label string")
+    for name, column, label in (("customer", "c_name", "PERSON"), ("nation", "n_name", "GPE"), ("part", "p_name", "PRODUCT")):
+        out = out.unionByName(table(spark, sf_dir, name).select(F.col(column).alias("phrase"), F.lit(label).alias("label")))
+    return out

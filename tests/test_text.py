@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -7,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from brightwater.functions import extraction, text as tx
+from brightwater.functions import extraction, spans, text as tx
 from brightwater.operators import classify, documents
 
 CONTRACT = (
@@ -182,3 +183,65 @@ def test_classifying_with_another_model(spark):
 def test_automation_rate_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], "requires_review boolean")
     assert classify.automation_rate(empty).head().automation_rate is None
+
+
+def brute_spans(text):
+    return [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\W]+", text)]
+
+
+def test_token_spans_of_long_and_odd_texts(spark):
+    texts = ["", "one", " Été,  NEW\tyork! ", "w " * 700 + "end", "...", "x" * 5000 + " 😀 y"]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    found = [r.s for r in frame.select(spans.token_spans(F.col("t")).alias("s")).collect()]
+    assert found[-1] is None
+    for text, got in zip(texts, found):
+        assert [(s.text, s.start, s.end) for s in got] == brute_spans(text)
+        assert "".join(s.gap + s.text for s in got) == text[: got[-1].end if got else 0]
+
+
+def swept(found):
+    out, free = [], 0
+    for s in sorted(found, key=lambda s: (s[0], -s[1], s[2], s[3])):
+        if s[0] >= free:
+            out.append(s)
+            free = s[1]
+    return out
+
+
+def test_sweep_keeps_the_leftmost_longest(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(60):
+        starts = [rng.randrange(30) for _ in range(rng.randrange(12))]
+        rows.append(([(a, a + rng.randint(1, 9), rng.randrange(2), rng.choice("AB")) for a in starts],))
+    frame = spark.createDataFrame(rows, "f array<struct<start:int,end:int,rank:int,label:string>>")
+    for r in frame.select("f", spans.leftmost_longest(F.col("f")).alias("k")).collect():
+        assert [tuple(s) for s in r.k] == swept([tuple(s) for s in r.f])
+
+
+def test_list_and_patterns_resolve_into_entities_without_overlap(spark):
+    names = spark.createDataFrame(
+        [("Ann  Lee", "PERSON"), ("Hallam", "GPE"), ("Lee Road Act", "LAW"), ("march", "EVENT"), ("road act", "LAW"), ("", "GPE")], "phrase string, label string"
+    )
+    text = "Ann\tLee of Hallam and Hallam Industries Company signed the Lee  road ACT on March 3, 2026. Ann Lee Road Act!"
+    rows = [(1, text), (None, "ann lee"), (None, "Hallam"), (3, None), (4, "nothing here"), (5, text), (5, text)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    found = documents.entity_table(docs, gazetteer=names).collect()
+    want = [
+        ("Ann\tLee", "PERSON"), ("Hallam", "GPE"), ("Hallam Industries Company", "ORG"), ("Lee  road ACT", "LAW"),
+        ("March 3, 2026", "DATE"), ("Ann Lee", "PERSON"), ("Road Act", "LAW"),
+    ]
+    first = sorted((r.start, r.text, r.label, r.end) for r in found if r.doc_id == 1)
+    assert [(t, label) for _, t, label, _ in first] == want and all(text[s:e] == t for s, t, _, e in first)
+    assert sorted((r.text, r.label) for r in found if r.doc_id is None) == [("Hallam", "GPE"), ("ann lee", "PERSON")]
+    assert sum(r.doc_id == 5 for r in found) == len(want)  # rows that repeat id and text have one result
+    out = documents.extraction_result(docs, normalize=False, gazetteer=names).collect()
+    assert len(out) == len(rows)
+    by_id = {r.doc_id: r for r in out if r.doc_id}
+    assert by_id[1].parties == by_id[5].parties == ["Ann Lee", "Hallam Industries Company", "Ann Lee"]
+    assert (by_id[1].entity_count, by_id[4].entity_count, by_id[4].entities) == (7, 0, []) and by_id[3].entities is None
+
+
+def test_trie_of_nothing_finds_nothing(spark):
+    docs = spark.createDataFrame([(1, "From New York")], "doc_id int, text string")
+    assert documents.gazetteer_entities(docs, spark.createDataFrame([], "phrase string, label string")).collect() == []
