@@ -40,20 +40,37 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.quality_filter(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    while name in columns:
+        name += "_"
+    return name
+
+
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal but for the case of A-Z, the one with the largest id; of rows that repeat an id and a text, one."""
-    repeats = Window.partitionBy("doc_id", "_text").orderBy("_text")
+    """Of texts equal but for the case of A-Z, the one with the largest id; of rows that repeat an id and a text, one.
+
+    Rows are known by id and digest of the folded text, so texts move once, to the rows that stay, and rows
+    without id are spread by their texts. Of rows that repeat both, the one least in its other columns stays.
+    """
+    kept = exact.exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"))
+    kept = written(kept, "kept")
+    digest, order = _unused("_digest", docs.columns), _unused("_order", docs.columns)
     text = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    once = [
-        part.withColumn("_text", text).withColumn("_repeat", F.row_number().over(repeats)).where("_repeat = 1").select(*docs.columns)
-        for part in _kept(docs, exact.exact_dedup(docs).select("doc_id", "kept"))
-    ]
-    return once[0].unionByName(once[1])
+    named = docs.withColumn(digest, F.sha2(text, 256))
+
+    def met(rows: DataFrame) -> DataFrame:
+        ids = rows.select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_digest"))
+        return named.join(ids, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col(digest) == F.col("k_digest")), "left_semi")
+
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = Window.partitionBy("doc_id", digest).orderBy(*others, F.xxhash64("text"))
+    repeated = met(written(kept.where("n > 1"), "repeated")).withColumn(order, F.row_number().over(first)).where(F.col(order) == 1)
+    return met(kept.where("n = 1")).select(*docs.columns).unionByName(repeated.select(*docs.columns))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of texts that share 80 % of their five-word shingles: the smallest id."""
-    named, nameless = _kept(docs, minhash.near_components(docs, coordinates=96).select("doc_id", "kept"))
+    named, nameless = _kept(docs, minhash.near_components(docs).select("doc_id", "kept"))
     return named.unionByName(nameless)
 
 
