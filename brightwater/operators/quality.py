@@ -117,11 +117,13 @@ def clean_events(df: DataFrame, ties: str = "keep", date_mode: str = "all_or_not
     valid = filter_quality(df)
     if ties != "keep" or date_mode != "all_or_nothing" or "date" not in df.columns or df.isStreaming:
         return add_partition_date(dedup_latest(valid, ties=ties, null_safe=False), mode=date_mode)
+    # Instants are of fixed width, so both maxima are hashed and combined before the shuffle; a row at the
+    # latest instant lacks a date where the latest instant without one is the same.
     per_key = valid.groupBy(F.col("event_id").alias("_latest_key")).agg(
-        F.max(F.struct(F.col("timestamp").alias("at"), F.col("date").isNull().alias("undated"))).alias("_latest")
+        F.max("timestamp").alias("_latest"), F.max(F.when(F.col("date").isNull(), F.col("timestamp"))).alias("_undated")
     )
-    kept = valid.join(per_key, (F.col("event_id") == F.col("_latest_key")) & (F.col("timestamp") == F.col("_latest.at")), "left_semi")
-    missing = per_key.agg(F.coalesce(F.bool_or("_latest.undated"), F.lit(False))).scalar()
+    kept = valid.join(per_key, (F.col("event_id") == F.col("_latest_key")) & (F.col("timestamp") == F.col("_latest")), "left_semi")
+    missing = per_key.agg(F.coalesce(F.bool_or(F.col("_undated") == F.col("_latest")), F.lit(False))).scalar()
     return kept.withColumn("date", F.when(missing, derived_date()).otherwise(F.col("date")))
 
 

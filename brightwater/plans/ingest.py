@@ -207,6 +207,25 @@ def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "compact_z_order",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_time, o_orderpriority FROM orders""",
+)
+def compact_z_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, out = scratch_path(spark, "small_files"), scratch_path(spark, "z_ordered")
+    table(spark, sf_dir, "orders").repartition(16).write.parquet(path)
+    tables.compact_z_order(spark, path, out, ["o_custkey", "o_orderdate", "o_orderpriority"], target_file_bytes=1 << 18)
+    return tables.read(spark, out).select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        stamp("o_orderdate").alias("order_time"),
+        "o_orderpriority",
+    )
+
+
 _EXPORT = ", ".join(sql.r(c) for c in CHURN_FEATURES)
 
 

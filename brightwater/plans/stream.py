@@ -70,7 +70,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which copy arrives first is open, so only the surviving ids are returned.
 
-    Ship dates come in no order, so no watermark holds: ids meet in the sink, whatever file or micro-batch has them.
+    Ship dates come in no order, so no watermark holds: ids meet in keyed state, whatever file or micro-batch has them.
     """
     path = scratch_path(spark, "stream_deduped")
     clean = ingest.clean_stream(flawed_stream(spark, sf_dir))

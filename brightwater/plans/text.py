@@ -292,18 +292,16 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
           UNION SELECT lower(p_name), 'PRODUCT' FROM part
           UNION SELECT array_to_string(list_slice({tokens_sql('text')}, 1, 3), ' '), 'LAW' FROM benchmark),
         sized AS (SELECT phrase, label, length(phrase) - length(replace(phrase, ' ', '')) + 1 AS n FROM phrases),
-        tokens AS (SELECT doc_id, {tokens_sql('text')} AS t, regexp_extract_all(text, {quoted(tx.TOKEN_PATTERN)}) AS w,
-                          string_split_regex(text, {quoted(tx.TOKEN_PATTERN)}) AS g FROM documents),
-        placed AS (SELECT doc_id, i, sum(size) OVER (PARTITION BY doc_id ORDER BY i) AS e, sum(size) OVER (PARTITION BY doc_id ORDER BY i) - own AS s
-                   FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(list_transform(w, lambda x: length(x))) AS own,
-                                unnest(list_transform(list_zip(g[:len(w)], w), lambda z: length(z[1]) + length(z[2]))) AS size FROM tokens)),
-        starts AS (SELECT doc_id, t, unnest(generate_series(1, len(t))) AS i FROM tokens WHERE len(t) > 0),
-        grams AS (SELECT doc_id, i, n, array_to_string(list_slice(t, i, i + n - 1), ' ') AS gram
-                  FROM starts, (SELECT DISTINCT n FROM sized) WHERE i + n - 1 <= len(t))
-        SELECT grams.doc_id, gram AS text, label, CAST(grams.i - 1 AS INTEGER) AS token_index, CAST(grams.n AS INTEGER) AS token_count,
-               CAST(a.s AS INTEGER) AS start, CAST(z.e AS INTEGER) AS end_
-        FROM grams JOIN sized ON gram = phrase AND grams.n = sized.n JOIN placed a ON a.doc_id = grams.doc_id AND a.i = grams.i
-             JOIN placed z ON z.doc_id = grams.doc_id AND z.i = grams.i + grams.n - 1""",
+        tokens AS (SELECT doc_id, regexp_extract_all(text, {quoted(tx.TOKEN_PATTERN)}) AS w, string_split_regex(text, {quoted(tx.TOKEN_PATTERN)}) AS g FROM documents),
+        opened AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word, unnest(g[:len(w)]) AS gap FROM tokens),
+        ended AS (SELECT doc_id, i, lower(word) AS t, length(word) AS own, sum(length(gap) + length(word)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM opened),
+        three AS (SELECT doc_id, i, e - own AS s, t, e, lead(t) OVER d AS t2, lead(e) OVER d AS e2, lead(t, 2) OVER d AS t3, lead(e, 2) OVER d AS e3
+                  FROM ended WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+        grams AS (SELECT doc_id, i, 1 AS n, s, e, t AS gram FROM three UNION ALL SELECT doc_id, i, 2, s, e2, t || ' ' || t2 FROM three
+                  UNION ALL SELECT doc_id, i, 3, s, e3, t || ' ' || t2 || ' ' || t3 FROM three)
+        SELECT doc_id, gram AS text, label, CAST(i - 1 AS INTEGER) AS token_index, CAST(grams.n AS INTEGER) AS token_count,
+               CAST(s AS INTEGER) AS start, CAST(e AS INTEGER) AS end_
+        FROM grams JOIN sized ON gram = phrase AND grams.n = sized.n""",
 )
 def gazetteer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.gazetteer_entities(table(spark, sf_dir, "documents"), gazetteer(spark, sf_dir)).withColumnRenamed("end", "end_")

@@ -203,3 +203,10 @@ def test_one_undated_survivor_dates_all_rows_anew(spark):
     assert sorted(r.date for r in quality.clean_events(df).collect()) == ["kept", "old"]
     undated = df.unionByName(df.where("event_id = 'b'").withColumns({"event_id": F.lit("c"), "date": F.lit(None).cast("string")}))
     assert {r.date for r in quality.clean_events(undated).collect()} == {"1970-01-01"}
+
+
+def test_ingestion_hashes_its_aggregates(spark, tmp_path):
+    path = str(tmp_path / "in")
+    frame(spark, [event("a"), event("b")]).write.parquet(path)
+    plan = files.ingest_parquet(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

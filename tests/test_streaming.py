@@ -97,3 +97,16 @@ def test_distinct_resumes_and_replays_a_batch(spark, tmp_path):
     assert run() == want
     land(spark, source, [event("b", product="third")])
     assert run() == want
+
+
+def test_distinct_keeps_keys_in_state_and_never_reads_the_sink(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    for round_ in range(3):
+        land(spark, source, [event(f"{round_}-{i}") for i in range(20)] + [event("0-1"), event("0-2")])
+        stream = ingest.stream_parquet(spark, source, max_files_per_trigger=1)
+        run = ingest.stream_distinct(stream, sink, checkpoint)
+        run.awaitTermination()
+    (state,) = [p["stateOperators"][0] for p in [run.recentProgress[-1]]]
+    assert state["numRowsTotal"] == 60 and "rocksdb" in str(state["customMetrics"]).lower()
+    assert "out" not in [s["description"].split("/")[-1].rstrip("]") for s in run.recentProgress[-1]["sources"]]
+    assert spark.read.parquet(sink).count() == 60

@@ -149,3 +149,24 @@ def test_partition_pruning_on_read_back(spark, tmp_path):
 def test_feature_export_checks_columns(spark):
     with pytest.raises(ValueError, match="missing"):
         tables.feature_export(people(spark, [(1, "a")]), ["score"])
+
+
+def test_z_order_lets_a_predicate_on_either_column_skip_files(spark, tmp_path):
+    path, linear, z = (str(tmp_path / n) for n in ("many", "linear", "z"))
+    rows = spark.range(40_000).select("id", (F.rand(1) * 1000).alias("x"), F.concat(F.lit("k"), (F.rand(2) * 9000 + 1000).cast("int")).alias("y"))
+    rows = rows.withColumn("x", F.when(F.col("id") % 50 > 0, F.col("x")))
+    rows.repartition(20).write.parquet(path)
+    size = tables.estimated_bytes(tables.read(spark, path))
+    tables.compact_table(spark, path, linear, ["x", "y"], target_file_bytes=size // 64)
+    tables.compact_z_order(spark, path, z, ["x", "y"], target_file_bytes=size // 64)
+
+    def touched(out, x, y):
+        """Files whose range of values meets the predicate's, as statistics tell."""
+        boxes = tables.read(spark, out).groupBy(F.input_file_name()).agg(*(f(c).alias(f"{n}_{c}") for c in "xy" for n, f in (("lo", F.min), ("hi", F.max)))).collect()
+        return sum(b.lo_x is not None and b.lo_x <= x[1] and b.hi_x >= x[0] and b.lo_y <= y[1] and b.hi_y >= y[0] for b in boxes) / len(boxes)
+
+    assert tables.read(spark, z).exceptAll(tables.read(spark, path)).count() == 0 and tables.read(spark, z).count() == 40_000
+    assert touched(z, (100, 600), ("k2000", "k2500")) <= 0.6 * touched(linear, (100, 600), ("k2000", "k2500"))
+    assert touched(z, (0, 1000), ("k2000", "k2500")) <= 0.5 * touched(linear, (0, 1000), ("k2000", "k2500"))
+    with pytest.raises(ValueError, match="62 bits"):
+        tables.compact_z_order(spark, path, str(tmp_path / "none"), [])
