@@ -200,7 +200,7 @@ def mixed_documents(
     plan, _ = mix(documents, id_col, text_col, source_col, **options)
     t = plan.groupBy(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "epoch").agg(
         F.min("position").alias("_position"), F.sum("words").alias("_words")
-    )
+    ).drop("epoch")
     if whole:
         t = t.where("2 * _words >= _size").withColumn("_words", F.col("_size"))
     same = F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source"))

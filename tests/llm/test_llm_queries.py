@@ -102,3 +102,12 @@ def test_pipeline_tells_nameless_texts_apart_by_case_beyond_a_to_z(spark):
     texts = [(None, "\u00c9TUDE a"), (None, "\u00e9tude a"), (None, "\u00c9tude A"), (4, "x")]
     out = corpus_pipeline.without_copies(spark, spark.createDataFrame(texts, "doc_id long, text string"), "").collect()
     assert sorted(r.text.replace("A", "a").replace("TUDE", "tude") for r in out) == ["x", "\u00c9tude a", "\u00e9tude a"]
+
+
+def test_stages_pass_columns_of_any_name_on(spark):
+    texts = [(1, "a b c", "s"), (2, "A b c", "s"), (2, "a B c", "s"), (None, "x y", None)]
+    frame = spark.createDataFrame([(*t, 5, "t", "d", "o") for t in texts], "doc_id long, text string, source string, epoch int, _text string, _digest string, _order string")
+    once = corpus_pipeline.without_copies(spark, frame, "")
+    assert sorted((str(r.doc_id), r.epoch, r._text, r._digest, r._order) for r in once.collect()) == [("2", 5, "t", "d", "o"), ("None", 5, "t", "d", "o")]
+    mixed = corpus_pipeline.mixed(spark, frame, "")
+    assert mixed.columns == frame.columns and {r.epoch for r in mixed.collect()} == {5}
