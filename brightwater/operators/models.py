@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, fields, replace
 from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
@@ -16,6 +17,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from brightwater.operators import evaluate
 from brightwater.session import ensure_checkpoint_dir
@@ -178,8 +180,71 @@ def fit_boosted(estimator: Estimator, rows: DataFrame, valid: DataFrame, patienc
         rounds = min(most, 2 * rounds)
 
 
+def fit_forest(estimator: Estimator, rows: DataFrame, fits: int = 8, partition_rows: int = 100_000) -> Model:
+    """One forest, grown as ``fits`` smaller forests with seeds of their own, side by side.
+
+    A deep forest costs passes, not rows: each pass sends the statistics of every open node from every
+    partition, and one pass waits for the other. So fits share the cores, and rows lie in partitions of
+    ``partition_rows`` or more, as a partition with fewer rows than open nodes sends more statistics than
+    rows; a table that is large already keeps its partitions. All trees have the estimator's parameters. Runs
+    jobs; ``rows`` should be persisted or written.
+    """
+    count = estimator.getNumTrees()
+    fits = min(fits, count)
+    parts = rows.rdd.getNumPartitions()
+    few = max(1, -(-rows.count() // partition_rows))
+    packed = rows.coalesce(few) if few < parts else rows
+    shares = [count // fits + (i < count % fits) for i in range(fits)]
+    seeds = [estimator.getSeed() + i for i in range(fits)]
+
+    def grow(share: int, seed: int) -> Model:
+        return estimator.copy({estimator.numTrees: share, estimator.seed: seed}).fit(packed)
+
+    packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPoolExecutor(fits) as pool:
+            runs = [pool.submit(inheritable_thread_target(rows.sparkSession)(grow), n, s) for n, s in zip(shares, seeds)]
+            grown = [run.result() for run in runs]
+    finally:
+        packed.unpersist()
+    return joined_forest(estimator, grown)
+
+
+def joined_forest(estimator: Estimator, forests: list[Model]) -> Model:
+    """The trees of several forests as one model.
+
+    MLlib offers no public way to make a forest of trees, so its constructor is called in the JVM:
+    classic sessions only, like :func:`first_trees`.
+    """
+    if len(forests) == 1:
+        return forests[0]
+    spark = SparkSession.getActiveSession()
+    jvm, gateway = spark._jvm.org.apache.spark.ml, spark.sparkContext._gateway
+    olds = [f._java_obj for f in forests]
+    total = sum(f.getNumTrees for f in forests)
+    classify = isinstance(forests[0], RandomForestClassificationModel)
+    kind = jvm.classification.DecisionTreeClassificationModel if classify else jvm.regression.DecisionTreeRegressionModel
+    trees = gateway.new_array(kind, total)
+    at = 0
+    for old in olds:
+        for tree in old.trees():
+            trees[at] = tree
+            at += 1
+    first = olds[0]
+    if classify:
+        new = jvm.classification.RandomForestClassificationModel(first.uid(), trees, first.numFeatures(), first.numClasses())
+    else:
+        new = jvm.regression.RandomForestRegressionModel(first.uid(), trees, first.numFeatures())
+    joined = type(forests[0])(first.copyValues(new, jvm.param.ParamMap.empty()))
+    joined._java_obj.set("numTrees", total)
+    joined._java_obj.set("seed", estimator.getSeed())
+    joined._resetUid(first.uid())
+    joined._transfer_params_from_java()
+    return joined
+
+
 def first_trees(model: Model, count: int) -> Model:
-    """The same boosted model with its first trees only."""
+    """The same boosted model with its first trees only. Uses JVM constructors: classic sessions only."""
     old = model._java_obj
     jvm = SparkSession.getActiveSession()._jvm
     gateway = SparkSession.getActiveSession().sparkContext._gateway
@@ -227,8 +292,10 @@ def train_all(
         for name in names or MODEL_NAMES:
             estimator, config = model_for(name, task, label_col=label_col, **chosen.get(name.lower(), {}))
             began = time.perf_counter()
-            stopping = early_stopping and not isinstance(config, ForestConfig)
-            fitted = fit_boosted(estimator, fit_rows, valid_rows) if stopping else estimator.fit(fit_rows)
+            if isinstance(config, ForestConfig):
+                fitted = fit_forest(estimator, fit_rows)
+            else:
+                fitted = fit_boosted(estimator, fit_rows, valid_rows) if early_stopping else estimator.fit(fit_rows)
             seconds = time.perf_counter() - began
             metrics = evaluate.evaluate_model(fitted.transform(valid_rows), label_col, task)
             metrics["train_duration_sec"] = round(seconds, 2)
@@ -323,9 +390,12 @@ def fit_with_preparation(
     ensure_checkpoint_dir(df.sparkSession)
     estimator, config = model_for(name, task, label_col=label_col, **overrides)
     stages = [*preparation.getStages(), assemble(columns)]
-    if valid is None or isinstance(config, ForestConfig):
+    forest = isinstance(config, ForestConfig)
+    if valid is None and not forest:
         return Pipeline(stages=[*stages, estimator]).fit(df)
     before = Pipeline(stages=stages).fit(df)
+    if forest:
+        return PipelineModel([*before.stages, fit_forest(estimator, before.transform(df).select("features", label_col))])
     rows, held = (before.transform(x).select("features", label_col).persist(StorageLevel.MEMORY_AND_DISK) for x in (df, valid))
     try:
         return PipelineModel([*before.stages, fit_boosted(estimator, rows, held)])

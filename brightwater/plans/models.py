@@ -67,7 +67,7 @@ def _classes_sql(*checks: str) -> str:
 
 
 def _units_sql() -> str:
-    return f"WITH {LABELLED_DEMAND} SELECT date, product_id, region, label, TRUE AS finite FROM labelled WHERE {held_sql(['product_id'])}"
+    return f"WITH {LABELLED_DEMAND} SELECT date, product_id, region, label, TRUE AS finite, TRUE AS learned FROM labelled WHERE {held_sql(['product_id'])}"
 
 
 CLASS_CHECKS = ["known_class", "in_unit", "consistent"]
@@ -103,9 +103,22 @@ def _classifier_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
 
 def _regressor_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     train, test = _split(labelled_demand(spark, sf_dir), ["product_id"])
-    scored = scoring.batch_predict(test, _fitted(train, ["product_id"], "regression", name), task="regression")
+    model = _fitted(train, ["product_id"], "regression", name)
+    scored = scoring.batch_predict(test, model, task="regression")
     finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < 1e12)
-    return scored.select(*DEMAND_KEYS, F.col("label").cast("long").alias("label"), finite.alias("finite"))
+    kept = [*DEMAND_KEYS, F.col("label").cast("long").alias("label"), finite.alias("finite")]
+    return scored.select(*kept, F.lit(_learned(train, model)).alias("learned"))
+
+
+def _learned(train: DataFrame, model) -> bool:
+    """Whether the model's squared errors on what it learned from are below those of the labels' mean.
+
+    No constant passes. Held-out rows cannot tell here: the generated units of a day say nothing of the next.
+    """
+    mean = train.agg(F.avg("label")).first()[0]
+    of_mean, of_model = (F.avg(F.pow(F.col("label") - x, 2)) for x in (F.lit(mean), F.col("prediction")))
+    fitted = scoring.batch_predict(train, model, task="regression")
+    return bool(fitted.agg((of_model < of_mean).alias("lower")).first()[0])
 
 
 @query("gbt_classifier", _classes_sql(*CLASS_CHECKS))

@@ -154,3 +154,20 @@ def test_best_model_directions_and_missing_metrics(spark):
     assert evaluate.best_model(runs, "rmse").head().model == "b"
     assert evaluate.best_model(runs, "roc_auc").head().model == "c"
     assert evaluate.best_model(runs, "f1").head().value is None
+
+
+def test_forest_grown_in_parts(spark):
+    rows = spark.range(400).selectExpr("double(id % 20) a", "double(id % 7) b", "double(id % 20 > 9) label", "id key")
+    data = models.assemble(["a", "b"]).transform(rows).repartition(4)
+    estimator, _ = models.model_for("random_forest", "classification", n_estimators=11, max_depth=4)
+    fitted = models.fit_forest(estimator, data, fits=4)
+    assert fitted.getNumTrees == 11 and len(fitted.trees) == 11
+    assert fitted.transform(data).where("prediction <> label").count() == 0
+    chances = [tree.predictProbability(data.first().features) for tree in fitted.trees]
+    mean = sum(c.toArray() for c in chances) / 11
+    assert abs(mean - fitted.predictProbability(data.first().features).toArray()).max() < 1e-9
+    estimator, _ = models.model_for("random_forest", "regression", n_estimators=3, max_depth=4)
+    fitted = models.fit_forest(estimator, data, fits=8)
+    assert fitted.getNumTrees == 3
+    value = data.first().features
+    assert abs(fitted.predict(value) - sum(t.predict(value) for t in fitted.trees) / 3) < 1e-9
