@@ -24,13 +24,18 @@ def _live(now: Column) -> Column:
     return F.timestamp_add("SECOND", F.col("ttl_seconds"), F.col("written_at")) > now
 
 
+def live_entries(store: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """The store without what is past its time to live."""
+    return store.filter(_live(as_of_column(as_of)))
+
+
 def score_lookup(requests: DataFrame, store: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Every request with the live stored ``value``, if any, and a ``cached`` flag.
 
     The store holds a key once, so a key asked for by a third of the requests
     only enlarges the side the adaptive skew join splits.
     """
-    live = store.filter(_live(as_of_column(as_of))).select("key", F.col("value"))
+    live = live_entries(store, as_of).select("key", F.col("value"))
     return requests.join(live, "key", "left").withColumn("cached", F.col("value").isNotNull())
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brightwater.functions.keys import score_key
 from brightwater.operators import store
+from brightwater.operators.bucketed import BucketedStore, open_store
 from brightwater.plans.registry import query, stamp
 from brightwater.session import scratch_path
 from brightwater.sources.adapters import table
@@ -64,14 +65,36 @@ def score_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.score_lookup(requests(spark, sf_dir), earlier_scores(spark, sf_dir), NOW)
 
 
-@query(
-    "score_put",
-    f"""WITH {REQUESTS}, {STORE},
+PUT = f"""WITH {REQUESTS}, {STORE},
         fresh AS (SELECT key, '{{"prediction":0}}' AS value, TIMESTAMP '{NOW}' AS written_at, 300 AS ttl_seconds
                   FROM requests JOIN orders USING (o_orderkey) WHERE o_orderstatus = 'O' GROUP BY key),
         merged AS (SELECT * FROM store WHERE key NOT IN (SELECT key FROM fresh) UNION ALL SELECT * FROM fresh)
-        SELECT {STORE_OUT} FROM merged""",
-)
+        SELECT {STORE_OUT} FROM merged"""
+
+
+def bucketed_scores(spark: SparkSession, sf_dir: str) -> BucketedStore:
+    """The earlier scores in a bucketed store; few buckets, as the tables are small."""
+    path = scratch_path(spark, "bucketed")
+    kept = open_store(spark, path, path.rsplit("/", 1)[1].replace("-", "_"), buckets=16, shards=4)
+    kept.put(earlier_scores(spark, sf_dir))
+    return kept
+
+
+@query("bucketed_lookup", f"{LOOKUP} SELECT * FROM looked")
+def bucketed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bucketed_scores(spark, sf_dir).lookup(requests(spark, sf_dir), NOW)
+
+
+@query("bucketed_put", PUT)
+def bucketed_put(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pending = table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'")
+    fresh = pending.select(score_key("churn", PAYLOAD).alias("key")).distinct()
+    kept = bucketed_scores(spark, sf_dir)
+    kept.put(store.store_entries(fresh.withColumn("value", F.lit('{"prediction":0}')), NOW, ttl_seconds=0))
+    return store_output(kept.rows())
+
+
+@query("score_put", PUT)
 def score_put(spark: SparkSession, sf_dir: str) -> DataFrame:
     pending = table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'")
     fresh = pending.select(score_key("churn", PAYLOAD).alias("key")).distinct()
