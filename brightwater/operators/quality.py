@@ -171,9 +171,15 @@ def reject_reasons(df: DataFrame) -> Column:
 
 
 def dead_letter(df: DataFrame) -> DataFrame:
-    """Rejected rows with ``reasons``; superseded duplicates of valid rows too."""
+    """Rejected rows with ``reasons``; superseded duplicates of valid rows too.
+
+    The source is read twice: the latest valid instant per key is a combined aggregate that the tagged rows meet
+    in one left join, whose hot keys, and the rows without a key, the adaptive skew join splits.
+    """
     tagged = df.withColumn("reasons", reject_reasons(df))
-    invalid = tagged.filter(F.size("reasons") > 0)
-    valid = tagged.filter(F.size("reasons") == 0)
-    late = superseded(valid, null_safe=False).withColumn("reasons", F.array(F.lit("superseded_duplicate")))
-    return invalid.unionByName(late)
+    latest = filter_quality(df).groupBy(F.col("event_id").alias("_latest_key")).agg(F.max("timestamp").alias("_latest_ts"))
+    met = tagged.join(latest, F.col("event_id") == F.col("_latest_key"), "left").drop("_latest_key")
+    invalid = F.size("reasons") > 0
+    late = F.col("timestamp") < F.col("_latest_ts")
+    reasons = F.when(invalid, F.col("reasons")).otherwise(F.array(F.lit("superseded_duplicate")))
+    return met.filter(invalid | late).withColumn("reasons", reasons).drop("_latest_ts")

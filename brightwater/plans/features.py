@@ -10,6 +10,7 @@ from brightwater.operators.quality import clean_events
 from brightwater.plans import sql
 from brightwater.plans.registry import query, rounded, stamp
 from brightwater.schema import LOOKBACK_DAYS
+from brightwater.session import written
 from brightwater.sources.adapters import customer_events
 
 FEATURES = f"WITH {sql.CE}, {sql.customer_features()}"
@@ -105,7 +106,9 @@ def rolling_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
         {sql.demand("clean")}, {sql.rolling()} SELECT {sql.DEMAND_OUT} FROM demand""",
 )
 def demand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return demand_output(fx.demand_features(clean_events(customer_events(spark, sf_dir))))
+    """Cleaning reads the events twice, so they are joined once and written."""
+    events = written(customer_events(spark, sf_dir), "events")
+    return demand_output(fx.demand_features(clean_events(events)))
 
 
 _LOOKBACK = ", ".join(

@@ -210,3 +210,15 @@ def test_ingestion_hashes_its_aggregates(spark, tmp_path):
     frame(spark, [event("a"), event("b")]).write.parquet(path)
     plan = files.ingest_parquet(spark, path)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_dead_letter_reads_its_source_twice(spark, tmp_path):
+    rows = spark.range(30).selectExpr(
+        "IF(id % 3 = 0, NULL, concat('e', id % 4)) event_id", "'c' customer_id", "timestamp_seconds(id) timestamp", "1.0 revenue", "1 quantity"
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    dead = quality.dead_letter(spark.read.parquet(str(tmp_path / "rows")))
+    assert dead._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    got = {tuple(r.reasons): r["count"] for r in dead.groupBy("reasons").count().collect()}
+    # Twenty rows have a key, the latest of each of four stays.
+    assert got == {("event_id_missing",): 10, ("superseded_duplicate",): 16}
