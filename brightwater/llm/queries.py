@@ -146,12 +146,13 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op1_lines",
     """WITH w AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS ls FROM documents),
-g AS (SELECT doc_id, unnest(range(1, len(ls) - 1)) AS p, ls FROM w),
+e AS (SELECT doc_id, CASE WHEN len(ls) IN (1, 2) THEN list_resize(ls, 3) ELSE ls END AS ls FROM w),
+g AS (SELECT doc_id, unnest(range(1, len(ls) - 1)) AS p, ls FROM e),
 s AS (SELECT doc_id, p, row_number() OVER (PARTITION BY ls[p], ls[p + 1], ls[p + 2] ORDER BY doc_id, p) AS k FROM g),
 cov AS (SELECT DISTINCT doc_id, unnest(range(p, p + 3)) AS q FROM s WHERE k > 1),
 lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS q FROM w),
 kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY q) AS t FROM lines ANTI JOIN cov USING (doc_id, q) GROUP BY doc_id),
-gone AS (SELECT doc_id, count(*) AS k FROM cov GROUP BY doc_id)
+gone AS (SELECT doc_id, count(*) AS k FROM lines SEMI JOIN cov USING (doc_id, q) GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(ls) AS BIGINT) AS n_lines, coalesce(k, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id LEFT JOIN gone ON w.doc_id = gone.doc_id""",
 )

@@ -63,12 +63,13 @@ def test_components_follow_long_paths(spark):
 
 
 def drop_lines(texts, run):
-    """Brute force over documents in id order."""
+    """Brute force over documents in id order; short texts end in marks."""
     rows = [(i, t.split("\n") if t is not None else []) for i, t in texts]
     seen, gone = {}, set()
     for i, ls in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        for p in range(len(ls) - run + 1):
-            key = tuple(ls[p : p + run])
+        ended = ls + [None] * (run - len(ls)) if ls else []
+        for p in range(len(ended) - run + 1):
+            key = tuple(ended[p : p + run])
             if key in seen:
                 gone |= {(i, p + k) for k in range(run)}
             seen.setdefault(key, (i, p))
@@ -91,6 +92,41 @@ def test_line_dedup_repeats_null_ids_and_runs(spark):
     runs = lines.repeated_runs(docs(spark, ["a\nb\nc\nd", "z\na\nb\nc\nd\na\nb"]), run=2).collect()
     assert sorted((r.id, r.first_line, r.n_lines, r.from_id, r.from_line) for r in runs) == [(1, 1, 4, 0, 0), (1, 5, 2, 0, 0)]
     assert lines.drop_repeated_lines(docs(spark, []), run=3).collect() == []
+    assert lines.repeated_runs(docs(spark, ["a", None]), run=3).collect() == []
+
+
+def test_line_dedup_numbers_rows_without_id_and_takes_short_texts(spark):
+    found = lines.drop_repeated_lines(docs(spark, ["p\nq\nr\ns"] * 5 + ["p", "p", "q\nr", "x\nq\nr"], ids=[None] * 4 + [1, 2, 3, 4, 5]), run=3)
+    out = sorted((str(r.doc_id), r.text, r.n_lines, r.n_removed) for r in found.collect())
+    assert out == [
+        ("1", "", 4, 4), ("2", "p", 1, 0), ("3", "", 1, 1), ("4", "q\nr", 2, 0), ("5", "x\nq\nr", 3, 0),
+        *[("None", "", 4, 4)] * 3, ("None", "p\nq\nr\ns", 4, 0),
+    ]
+
+
+@pytest.mark.parametrize("run", [1, 2, 4])
+def test_line_runs_are_maximal(spark, run):
+    """Every run equals its source and ends where they part; together they are the windows that stand earlier."""
+    rng = random.Random(40 + run)
+    texts = ["\n".join(rng.choice("abcd") for _ in range(rng.randrange(run, 25))) for _ in range(20)]
+    texts += [texts[3], texts[4] + "\n" + texts[5], "a\n" * 90, "b\n" + "a\n" * 60]
+    split = [t.split("\n") for t in texts]
+    seen, want = set(), set()
+    for i, ls in enumerate(split):
+        for p in range(len(ls) - run + 1):
+            if tuple(ls[p : p + run]) in seen:
+                want |= {(i, p + k) for k in range(run)}
+            seen.add(tuple(ls[p : p + run]))
+    covered, last = set(), {}
+    for r in sorted(lines.repeated_runs(docs(spark, texts), run=run).collect(), key=lambda r: (r.id, r.first_line)):
+        mine, theirs = split[r.id][r.first_line :], split[r.from_id][r.from_line :]
+        assert (r.from_id, r.from_line) < (r.id, r.first_line)
+        assert mine[: r.n_lines] == theirs[: r.n_lines] and r.n_lines >= run
+        assert r.n_lines == min(len(mine), len(theirs)) or mine[r.n_lines] != theirs[r.n_lines]
+        assert r.first_line + r.n_lines > last.get(r.id, -1)
+        last[r.id] = r.first_line + r.n_lines
+        covered |= {(r.id, r.first_line + k) for k in range(r.n_lines)}
+    assert covered == want
 
 
 # 2 mixing
