@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightwater.functions import extraction, text as tx
-from brightwater.operators import classify, documents, tagger
+from brightwater.operators import abbreviations, classify, documents, tagger
 from brightwater.operators.models import holdout_split
 from brightwater.plans import sql
 from brightwater.plans.registry import joined, query, rounded
+from brightwater.session import written
 from brightwater.sources.adapters import contract_texts, named_contracts, named_phrases, table
 
 
@@ -307,6 +308,46 @@ def gazetteer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.gazetteer_entities(table(spark, sf_dir, "documents"), gazetteer(spark, sf_dir)).withColumnRenamed("end", "end_")
 
 
+PIECE_SQL = quoted(abbreviations.EDGES)
+FORM_SQL = quoted(abbreviations.WORD_FORM)
+LEARNED_WORDS = f"""{sql.CONTRACTS},
+        raw AS (SELECT unnest(string_split_regex(text, {SPACES_SQL})) AS p FROM contracts),
+        pieces AS (SELECT regexp_replace(p, {PIECE_SQL}, '', 'g') AS p FROM raw),
+        types AS (SELECT lower(regexp_replace(p, '\\.$', '')) AS word, count(*) FILTER (p LIKE '%.') AS stops, count(*) FILTER (p NOT LIKE '%.') AS plain,
+                         count(*) FILTER (regexp_matches(p, '^\\p{{Ll}}')) AS small
+                  FROM pieces WHERE regexp_matches(p, {FORM_SQL}) GROUP BY word),
+        total AS (SELECT sum(stops) / sum(stops + plain) AS c FROM types),
+        scored AS (SELECT word, stops, plain, length(replace(word, '.', '')) AS n,
+                          -2 * (stops * ln(c) + plain * ln(1 - c) - stops * ln(0.99) - plain * ln(0.01)) AS ratio FROM types, total WHERE stops > 0),
+        found AS (SELECT word, stops, plain, ratio * exp(-n) * (length(word) - n + 1) * pow(n, -plain) AS score FROM scored),
+        short AS (SELECT * FROM found WHERE score >= 0.3)"""
+
+
+@query("learned_abbreviations", f"WITH {LEARNED_WORDS} SELECT word, stops, plain, round(score + 1e-7, 2) AS score FROM short")
+def learned_abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    types = written(abbreviations.word_types(contract_texts(spark, sf_dir)), "word-types")
+    return abbreviations.abbreviations(types).withColumn("score", rounded("score", 2))
+
+
+@query(
+    "sentencize_learned",
+    f"""WITH {LEARNED_WORDS},
+        cut AS (SELECT doc_id, {sentences_sql(ws_sql('text'))} AS parts FROM contracts),
+        rows AS (SELECT doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS part, unnest(list_append(parts[2:], NULL)) AS after FROM cut),
+        ends AS (SELECT doc_id, i, part, regexp_replace(string_split(part, ' ')[-1], {PIECE_SQL}, '', 'g') AS tail,
+                        regexp_replace(string_split(after, ' ')[1], {PIECE_SQL}, '', 'g') AS head FROM rows),
+        flags AS (SELECT doc_id, i, part, tail LIKE '%.' AND lower(regexp_replace(tail, '\\.$', '')) IN (SELECT word FROM short)
+                         AND NOT coalesce(regexp_matches(head, '^\\p{{Lu}}') AND lower(regexp_replace(head, '\\.$', '')) IN (SELECT word FROM types WHERE small > 0), FALSE) AS goes_on
+                  FROM ends),
+        fresh AS (SELECT *, CASE WHEN lag(goes_on) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS f FROM flags),
+        numbered AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS no FROM fresh)
+        SELECT doc_id, CAST(no AS INTEGER) AS position, string_agg(part, ' ' ORDER BY i) AS sentence FROM numbered GROUP BY doc_id, no""",
+)
+def sentencize_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spaced = contract_texts(spark, sf_dir).select("doc_id", tx.normalize_ws(F.col("text")).alias("text"))
+    return abbreviations.sentences_without_abbreviations(spaced)
+
+
 LEXICON_SQL = quoted(extraction.lexicon_pattern(extraction.OBLIGATION_WORDS))
 
 
