@@ -14,7 +14,7 @@ from brightwater.llm.components import components
 from brightwater.session import written
 
 TILE = 1024
-MAX_WIDTHS = 16
+ROTATED_WIDTHS = 16
 FEW = 0.05
 ROUNDING = 1e-12
 
@@ -96,34 +96,44 @@ def spanning_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = low
 
 
-def _tiles(nodes: DataFrame, width: int, axes: np.ndarray) -> DataFrame:
-    """``label, tile, tiles, ids, copies, rows``: one row for each tile of about ``TILE`` rotated vectors."""
+def _tiles(nodes: DataFrame, axes: dict[int, np.ndarray]) -> DataFrame:
+    """``label, width, tile, tiles, m``: one row for each tile of about ``TILE`` vectors, with node, copies and unit vector.
+
+    Vectors whose width has axes are rotated to them, the others keep their own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["label", "width", "tile", "tiles", "node", "copies"]
         for batch in batches:
-            rows = unit_rows(batch.column(batch.schema.names.index("vector")), width) @ axes
-            rest = [batch.column(batch.schema.names.index(n)) for n in ("label", "tile", "tiles", "node", "copies")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array([r.tobytes() for r in rows], pa.binary())], names=["label", "tile", "tiles", "node", "copies", "row"])
-
-    sizes = written(nodes.groupBy("label").agg(F.ceil(F.count("*") / TILE).alias("tiles")), "label-sizes")
-    placed = nodes.join(sizes, "label").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
+            vectors, widths = batch.column("vector"), batch.column("width").to_numpy()
+            rows = [b""] * len(widths)
+            for width in np.unique(widths).tolist():
+                at = np.flatnonzero(widths == width)
+                units = unit_rows(vectors.take(pa.array(at)), width)
+                units = units @ axes[width] if width in axes else units
+                for k, unit in zip(at, units):
+                    rows[k] = unit.tobytes()
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(rows, pa.binary())], names=[*names, "row"])
+
+    sizes = written(nodes.groupBy("label", "width").agg(F.ceil(F.count("*") / TILE).alias("tiles")), "label-sizes")
+    placed = nodes.join(sizes, ["label", "width"]).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
-    schema = f"label {kinds['label']}, tile long, tiles long, node {kinds['node']}, copies long, row binary"
-    rotated = placed.select("label", "tile", "tiles", "node", "copies", "vector").mapInArrow(run, schema)
+    schema = f"label {kinds['label']}, width int, tile long, tiles long, node {kinds['node']}, copies long, row binary"
+    rotated = placed.select("label", "width", "tile", "tiles", "node", "copies", "vector").mapInArrow(run, schema)
     one = F.struct("node", "copies", "row")
-    return rotated.groupBy("label", "tile", "tiles").agg(F.collect_list(one).alias("m"))
+    return rotated.groupBy("label", "width", "tile", "tiles").agg(F.collect_list(one).alias("m"))
 
 
-def _compared(tiles: DataFrame, width: int, threshold: float) -> DataFrame:
+def _compared(tiles: DataFrame, threshold: float) -> DataFrame:
     """``node, links, root``: of each tile pair a node's links in it and the first node they lead to."""
     fields = dict(tiles.select("m").schema["m"].dataType.elementType.jsonValue().items())["fields"]
     node_kind = next(f["type"] for f in fields if f["name"] == "node")
-    left = tiles.select("label", F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("j"), F.col("tile").alias("i"), "m")
-    right = tiles.select("label", F.col("tile").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), "tile")).alias("i"), "m")
+    left = tiles.select("label", "width", F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("j"), F.col("tile").alias("i"), "m")
+    right = tiles.select("label", "width", F.col("tile").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), "tile")).alias("i"), "m")
 
     def unpack(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         m = frame["m"].iloc[0]
-        rows = np.frombuffer(b"".join(x["row"] for x in m)).reshape(-1, width)
+        rows = np.frombuffer(b"".join(x["row"] for x in m)).reshape(len(m), -1)
         return np.array([x["node"] for x in m]), np.array([x["copies"] for x in m], dtype=np.int64), rows
 
     def compare(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
@@ -147,7 +157,7 @@ def _compared(tiles: DataFrame, width: int, threshold: float) -> DataFrame:
         hit = np.flatnonzero(links)
         return pd.DataFrame({"node": all_ids[hit], "links": links[hit].astype(np.int64), "root": all_ids[root[hit]]})
 
-    keys = ["label", "i", "j"]
+    keys = ["label", "width", "i", "j"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, f"node {node_kind}, links long, root {node_kind}")
 
 
@@ -164,33 +174,26 @@ def near_vectors(
     ``component_id`` (smallest id reachable), ``kept`` (it is its own). Rows
     with a null id, label or vector, an empty or zero vector, or a null or non-finite
     component link with nothing; a row without id has no component and is kept. Vectors of different widths
-    have no cosine; more than ``MAX_WIDTHS`` widths raise an error. Ids are integers; rows that
+    have no cosine. Ids are integers; rows that
     repeat an id count as vectors of their own and share a component through equal vectors only.
     Other columns are not read; an empty table gives no rows.
 
     Equal vectors of a label are one node with a number of copies. Nodes are dealt to tiles of about
     ``TILE`` by a hash; each pair of tiles of a label is one task's work: it returns link counts and,
     in place of the pairs, one edge per node towards the first node that the links lead to. Axes come from the
-    sums of squares over all nodes, so leading dimensions decide most pairs.
+    sums of squares over all nodes of a width, so leading dimensions decide most pairs; widths beyond the commonest
+    ``ROTATED_WIDTHS`` are compared as exactly along the axes they come with.
     """
     vector = F.col(vector_col)
     usable = F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (F.size(vector) > 0)
     usable = usable & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(vector, lambda x: x != 0)
     rows = embeddings.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), vector.alias("vector"), F.coalesce(usable, F.lit(False)).alias("usable"))
     good = rows.where("usable")
-    nodes = written(good.groupBy("label", "vector").agg(F.min("id").alias("node"), F.count("*").cast("long").alias("copies")), "vectors")
-    widths = [r[0] for r in nodes.select(F.size("vector")).distinct().limit(MAX_WIDTHS + 1).collect()]
-    if len(widths) > MAX_WIDTHS:
-        raise ValueError(f"more than {MAX_WIDTHS} vector widths")
-    found = None
-    for width in sorted(widths):
-        own = nodes.where(F.size("vector") == width)
-        axes = principal_axes(_moments(own, width))
-        tiles = written(_tiles(own, width, axes), "tiles")
-        part = _compared(tiles, width, threshold)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = nodes.select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("root"))
+    nodes = good.groupBy("label", "vector").agg(F.min("id").alias("node"), F.count("*").cast("long").alias("copies"))
+    nodes = written(nodes.withColumn("width", F.size("vector")), "vectors")
+    common = nodes.groupBy("width").count().orderBy(F.desc("count"), "width").limit(ROTATED_WIDTHS).collect()
+    axes = {r["width"]: principal_axes(_moments(nodes.where(F.col("width") == r["width"]), r["width"])) for r in common}
+    found = _compared(written(_tiles(nodes, axes), "tiles"), threshold)
     found = written(found, "tile-links")
     counts = written(found.groupBy("node").agg(F.sum("links").alias("links")), "link-counts")
     joined = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "components")

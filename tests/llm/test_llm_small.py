@@ -348,7 +348,7 @@ def vector_result(rows, threshold):
 
     for k, (i, a, l) in enumerate(ok):
         for j, b, m in ok[k + 1 :]:
-            if l == m and a @ b / np.sqrt((a @ a) * (b @ b)) >= threshold:
+            if l == m and len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= threshold:
                 links[i] += 1
                 links[j] += 1
                 x, y = sorted((find(i), find(j)))
@@ -370,6 +370,17 @@ def test_near_vectors_are_brute_force(spark, monkeypatch):
     assert embeddings.near_vectors(frame.limit(0)).collect() == []
 
 
+def test_near_vectors_of_many_widths(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 8)
+    monkeypatch.setattr(embeddings, "ROTATED_WIDTHS", 3)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(4, 40))
+    rows = [(i, [float(x) for x in np.float32(centres[i % 4] + rng.normal(scale=0.2, size=40))][: 2 + i % 20], i % 2) for i in range(240)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    out = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(frame, threshold=0.93).collect()}
+    assert out == vector_result(rows, 0.93)
+
+
 def test_early_stop_loses_no_pair():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(200, 32)) * np.geomspace(4, 0.1, 32)
