@@ -245,3 +245,17 @@ def test_list_and_patterns_resolve_into_entities_without_overlap(spark):
 def test_trie_of_nothing_finds_nothing(spark):
     docs = spark.createDataFrame([(1, "From New York")], "doc_id int, text string")
     assert documents.gazetteer_entities(docs, spark.createDataFrame([], "phrase string, label string")).collect() == []
+
+
+def test_few_partitions_of_short_texts_are_spread(spark):
+    docs = spark.createDataFrame([(i, "Ann Lee of Hallam") for i in range(400)], "doc_id int, text string").coalesce(1)
+    names = spark.createDataFrame([("Ann Lee", "PERSON"), ("ann lee", "LAW"), ("Hallam", "GPE")], "phrase string, label string")
+    made = documents.gazetteer_entities(docs, names)
+    found = made.groupBy("text", "label").agg(F.count("*").alias("n"), F.min("start").alias("s"), F.max("end").alias("e")).collect()
+    assert {(r.text, r.label, r.n, r.s, r.e) for r in found} == {
+        ("ann lee", "PERSON", 400, 0, 7), ("ann lee", "LAW", 400, 0, 7), ("hallam", "GPE", 400, 11, 17),
+    }
+    tokens = documents.spread(docs).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tokens >= spark.sparkContext.defaultParallelism
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan
