@@ -47,7 +47,7 @@ def ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ingest_json", INGESTED)
 def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events_json")
-    flawed_events(spark, sf_dir).write.json(path)
+    flawed_events(spark, sf_dir).write.option("compression", "gzip").json(path)
     return event_output(files.ingest_json(spark, path))
 
 

@@ -222,3 +222,11 @@ def test_dead_letter_reads_its_source_twice(spark, tmp_path):
     got = {tuple(r.reasons): r["count"] for r in dead.groupBy("reasons").count().collect()}
     # Twenty rows have a key, the latest of each of four stays.
     assert got == {("event_id_missing",): 10, ("superseded_duplicate",): 16}
+
+
+def test_json_input_is_written_compressed(spark, sf_dir, tmp_path, monkeypatch):
+    from brightwater.plans import ingest
+
+    monkeypatch.setattr(ingest, "scratch_path", lambda spark, name: str(tmp_path / name))
+    ingest.ingest_json(spark, sf_dir)
+    assert list(tmp_path.glob("events_json/*.json.gz")) and not list(tmp_path.glob("events_json/*.json"))
