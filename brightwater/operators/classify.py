@@ -49,18 +49,20 @@ def train_classifier(
     rows = classifier_input(known, text, max_words, normalize).select(
         F.col(label_col).cast("string").alias("category"), "words"
     )
+    indexer = StringIndexer(inputCol="category", outputCol="category_index", stringOrderType="alphabetAsc")
+    counter = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features)
     stages = [
-        StringIndexer(inputCol="category", outputCol="category_index", stringOrderType="alphabetAsc"),
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
+        indexer,
         IDF(inputCol="tf", outputCol="features"),
         LogisticRegression(labelCol="category_index", family="multinomial", maxIter=max_iter, regParam=reg),
     ]
-    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # Term counts are kept, not words: a number for each different word of a text.
+    kept = counter.transform(rows).select("category", "tf").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = Pipeline(stages=stages).fit(kept)
+        index, *rest = Pipeline(stages=stages).fit(kept).stages
     finally:
         kept.unpersist()
-    return fitted
+    return PipelineModel([index, counter, *rest])
 
 
 def model_labels(model: PipelineModel) -> list[str]:

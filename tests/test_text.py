@@ -259,3 +259,24 @@ def test_few_partitions_of_short_texts_are_spread(spark):
     assert tokens >= spark.sparkContext.defaultParallelism
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition" in plan
+
+
+def test_nfkd_over_many_slices_keeps_nulls_and_order(spark):
+    import unicodedata
+
+    texts = [None if i % 7 == 0 else "Été ﬁn" if i % 300 == 5 else f"plain {i}" for i in range(1500)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    got = {r.i: r.n for r in frame.select("i", tx.normalize_nfkd(F.col("t")).alias("n")).collect()}
+    assert got == {i: None if t is None else unicodedata.normalize("NFKD", t) for i, t in enumerate(texts)}
+
+
+def test_classifier_keeps_counts_not_words(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    seen, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: (seen.append(self.columns), persist(self, *a))[1])
+    rows = [(i, "good apple pie" if i % 2 else "bad engine oil", "food" if i % 2 else "cars") for i in range(40)]
+    model = classify.train_classifier(spark.createDataFrame(rows, "doc_id int, text string, kind string"), "kind", normalize=False)
+    assert seen == [["category", "tf"]] and classify.model_labels(model) == ["cars", "food"]
+    out = classify.classify_documents(spark.createDataFrame(rows, "doc_id int, text string, kind string"), model, normalize=False)
+    assert {(r.doc_id % 2, r.label) for r in out.collect()} == {(0, "cars"), (1, "food")}
