@@ -6,7 +6,6 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +28,10 @@ STATISTICS = [
 ]
 BLOCK_WORDS = 512
 
+# Bytes counted and rows scored at once: they bound a task's memory, not what is read.
+COUNTED_BYTES = 1 << 18
+SCORED_ROWS = 1024
+
 
 def _classes() -> np.ndarray:
     table = np.full(256, CLASSES.index("symbol"), dtype=np.int64)
@@ -115,7 +118,7 @@ def text_statistics(column: pa.Array) -> np.ndarray:
     """The statistics named in ``STATISTICS`` of each whole text; an empty text has zeros."""
     raw, bounds = T.text_bytes(column)
     parts = []
-    for first, last in T.row_slices(bounds):
+    for first, last in T.row_slices(bounds, COUNTED_BYTES):
         part = raw[bounds[first] : bounds[last]]
         if len(part) > T.SLICE_BYTES:
             cuts = _pieces(part)
@@ -348,8 +351,8 @@ def quality_filter(documents: DataFrame, labels: DataFrame, id_col: str = "doc_i
     """
     model = fit_quality(statistics_table(documents, id_col, text_col), _training(labels, id_col, label_col))
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(text_statistics(pa.array(texts, type=pa.large_string(), from_pandas=True))))
+    def score(texts: pa.Array) -> pa.Array:
+        parts = (text_statistics(texts.slice(at, SCORED_ROWS)) for at in range(0, len(texts), SCORED_ROWS))
+        return pa.array(np.concatenate([np.zeros(0), *map(model.scores, parts)]))
 
-    return documents.where(score(F.col(text_col)) >= 0.5)
+    return documents.where(F.arrow_udf(score, "double")(F.col(text_col)) >= 0.5)
