@@ -88,16 +88,23 @@ def mape(df: DataFrame, label: str = "label", prediction: str = "prediction") ->
 
 
 def evaluate_model(scored: DataFrame, label: str = "label", task: str = "classification") -> dict[str, Any]:
-    """All metrics of a task for a scored table. Runs jobs."""
-    if task != "classification":
-        return {"rmse": rmse(scored, label).head()[0], "mape": mape(scored, label).head()[0]}
-    metrics = {"accuracy": accuracy(scored, label).head()[0], "f1": f1_weighted(scored, label).head()[0]}
-    if "probability" in scored.columns:
-        from pyspark.ml.functions import vector_to_array
-
-        rows = scored.select(label, vector_to_array("probability")[1].alias("score"))
-        metrics["roc_auc"] = roc_auc(rows, "score", label)
-    return metrics
+    """All metrics of a task for a scored table. Runs jobs; rows are scored once for all of them."""
+    from pyspark.ml.functions import vector_to_array
+
+    columns = [F.col(label), F.col("prediction")]
+    by_chance = task == "classification" and "probability" in scored.columns
+    if by_chance:
+        columns.append(vector_to_array("probability")[1].alias("_score"))
+    kept = scored.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if task != "classification":
+            return {"rmse": rmse(kept, label).head()[0], "mape": mape(kept, label).head()[0]}
+        metrics = {"accuracy": accuracy(kept, label).head()[0], "f1": f1_weighted(kept, label).head()[0]}
+        if by_chance:
+            metrics["roc_auc"] = roc_auc(kept, "_score", label)
+        return metrics
+    finally:
+        kept.unpersist()
 
 
 def best_model(runs: DataFrame, metric: str = "roc_auc") -> DataFrame:

@@ -171,3 +171,26 @@ def test_forest_grown_in_parts(spark):
     assert fitted.getNumTrees == 3
     value = data.first().features
     assert abs(fitted.predict(value) - sum(t.predict(value) for t in fitted.trees) / 3) < 1e-9
+
+
+def test_boosting_grows_no_round_more_than_twice(spark, separable, monkeypatch):
+    rows = models.assemble(["a", "b"]).transform(separable).select("features", "label")
+    estimator, _ = models.model_for("xgboost", n_estimators=40, max_depth=2)
+    assert not estimator.getCacheNodeIds() and models.model_for("random_forest")[0].getCacheNodeIds()
+    grown, fit = [], type(estimator).fit
+    monkeypatch.setattr(type(estimator), "fit", lambda self, *a: (grown.append(self.getMaxIter()), fit(self, *a))[1])
+    models.fit_boosted(estimator, rows, rows, patience=0 - 12)
+    assert grown[0] < 40 and sum(grown) <= grown[0] + 40
+
+
+def test_metrics_score_the_rows_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def guess(x):
+        made.add(1)
+        return float(x % 2)
+
+    rows = spark.range(100, numPartitions=2).select((F.col("id") % 3).cast("double").alias("label"), guess("id").alias("prediction"))
+    metrics = evaluate.evaluate_model(rows.where("label < 2"))
+    assert set(metrics) == {"accuracy", "f1"} and made.value <= 100
