@@ -118,7 +118,7 @@ def text_statistics(column: pa.Array) -> np.ndarray:
     """The statistics named in ``STATISTICS`` of each whole text; an empty text has zeros."""
     raw, bounds = T.text_bytes(column)
     parts = []
-    for first, last in T.row_slices(bounds, COUNTED_BYTES):
+    for first, last in T.row_slices(bounds, min(COUNTED_BYTES, T.SLICE_BYTES)):
         part = raw[bounds[first] : bounds[last]]
         if len(part) > T.SLICE_BYTES:
             cuts = _pieces(part)

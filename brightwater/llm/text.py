@@ -52,8 +52,9 @@ def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def row_slices(bounds: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most ``most`` bytes; a longer row stands alone."""
+def row_slices(bounds: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most ``most`` bytes, ``SLICE_BYTES`` by default; a longer row stands alone."""
+    most = most or SLICE_BYTES
     first, rows = 0, len(bounds) - 1
     while first < rows:
         last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + most, side="right")) - 1)

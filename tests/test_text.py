@@ -271,7 +271,7 @@ def test_nfkd_over_many_slices_keeps_nulls_and_order(spark):
 
 
 def test_classifier_keeps_counts_not_words(spark, monkeypatch):
-    from pyspark.sql import DataFrame
+    from pyspark.sql.classic.dataframe import DataFrame
 
     seen, persist = [], DataFrame.persist
     monkeypatch.setattr(DataFrame, "persist", lambda self, *a: (seen.append(self.columns), persist(self, *a))[1])
