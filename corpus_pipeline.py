@@ -80,9 +80,14 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids; ``text`` is what the ids decode to."""
+    """Documents with their token ids; ``text`` is what the ids decode to.
+
+    The ids are written before they are decoded: two Python steps in one stage take two workers a core, which stay
+    alive with their memory while the next stages run.
+    """
     ranks, pattern = bpe.multilingual()
-    coded = bpe.decode(bpe.encode(docs, ranks, pattern).drop("text"), ranks)
+    ids = written(bpe.encode(docs, ranks, pattern).drop("text"), "ids")
+    coded = bpe.decode(ids, ranks)
     return coded.withColumns({"text": F.decode("decoded", "utf-8"), "n_tokens": F.size("ids").cast("long")}).drop("decoded")
 
 

@@ -111,3 +111,10 @@ def test_stages_pass_columns_of_any_name_on(spark):
     assert sorted((str(r.doc_id), r.epoch, r._text, r._digest, r._order) for r in once.collect()) == [("2", 5, "t", "d", "o"), ("None", 5, "t", "d", "o")]
     mixed = corpus_pipeline.mixed(spark, frame, "")
     assert mixed.columns == frame.columns and {r.epoch for r in mixed.collect()} == {5}
+
+
+def test_encoding_takes_one_python_worker_a_core(spark):
+    frame = spark.createDataFrame([(1, "Ein Satz.", "de", "a", 9), (2, None, "de", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.encoded(spark, frame, "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.text, r.n_tokens > 0) for r in out.collect()) == [(1, "Ein Satz.", True), (2, "", False)]
